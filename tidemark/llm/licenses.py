@@ -1,11 +1,13 @@
 """License scan by canonical digest, with DataFrame functions only.
 
-A text is normalised (case, typographic punctuation, copyright lines, equivalent spellings, all other punctuation and
-spacing), hashed, and hash-joined to the digests of known licence texts that went through the same expression. Whole
-texts are looked up, and so is every line as a text of its own, since documents often carry a one-line grant.
+A text is normalised line by line (case, copyright lines, equivalent spellings, punctuation and spacing), its lines
+are joined, and the digest is hash-joined to the digests of known licence texts that went through the same
+expression. Every line is looked up as a text of its own too, since documents often carry a one-line grant. Whole
+text and lines come out of one pass, and only one row per document is shuffled.
 
 Defined results: null or empty texts have the digest of the empty string and match nothing; repeated rows each get
-their own result row, and rows that share an id (null is an id too) share the notices of all of them; an empty table gives an empty result; further columns are ignored.
+their own result row, and rows of one id (null is an id too) and one canonical text share the notices of all of them;
+an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -15,82 +17,78 @@ from pyspark.sql import functions as F
 
 from .license_texts import KNOWN
 
-#: Typographic characters and what they count as.
-TYPOGRAPHIC = ("‘’“”–—… ·•", "''\"\"--. **")
-
 #: Spellings that licence comparison treats as equal, as (pattern on lower-cased text, replacement).
 SPELLINGS = (
     ("acknowledgement", "acknowledgment"),
-    ("analogue", "analog"),
-    ("artefact", "artifact"),
     ("authoris", "authoriz"),
-    ("calibre", "caliber"),
-    ("cancelled", "canceled"),
     ("catalogue", "catalog"),
-    ("categoris", "categoriz"),
-    ("centre", "center"),
-    ("emphasis", "emphasiz"),
     ("favour", "favor"),
     ("fulfilment", "fulfillment"),
-    ("initialis", "initializ"),
     ("judgement", "judgment"),
     ("labour", "labor"),
     ("licence", "license"),
-    ("maximis", "maximiz"),
     ("merchantibility", "merchantability"),
-    ("non-commercial", "noncommercial"),
-    ("optimis", "optimiz"),
+    ("non commercial", "noncommercial"),
     ("organisation", "organization"),
     ("per cent", "percent"),
     ("recognis", "recogniz"),
-    ("sub-license", "sublicense"),
+    ("sub license", "sublicense"),
     ("utilis", "utiliz"),
     ("whilst", "while"),
     ("copyright owner", "copyright holder"),
-    ("http://", "https://"),
-    ("&", " and "),
+    ("http ", "https "),
 )
 
-COPYRIGHT_LINE = r"(^|\n)[ \t/*#;%.-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
-PUNCTUATION = "[\\x00-\\x2f\\x3a-\\x60\\x7b-\\x7f]+"
+COPYRIGHT_LINE = "^[ \t/*#;%.-]*(copyright|\\(c\\)|©|all rights reserved)"
+#: ASCII characters other than letters, digits and line feeds, and typographic ones.
+PUNCTUATION = "[\\x00-\\x09\\x0b-\\x2f\\x3a-\\x60\\x7b-\\x7f\u00a0©‘’“”–—…·•]+"
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form of a text; null counts as empty."""
-    x = F.translate(F.lower(F.coalesce(text, F.lit(""))), *TYPOGRAPHIC)
-    x = F.regexp_replace(x, COPYRIGHT_LINE, "\n")
+def canonical_line(line: Column) -> Column:
+    """The canonical form of a lower-cased line without its line feed."""
+    x = F.regexp_replace(line, PUNCTUATION, " ")
     for old, new in SPELLINGS:
         x = F.replace(x, F.lit(old), F.lit(new))
-    return F.trim(F.regexp_replace(x, PUNCTUATION, " "))
+    return F.trim(x)
+
+
+def canonical_lines(text: Column) -> Column:
+    """The canonical lines of a text, without copyright lines and empty ones; null counts as empty."""
+    lines = F.split(F.lower(F.coalesce(text, F.lit(""))), "\n")
+    lines = F.filter(lines, lambda x: ~x.rlike(COPYRIGHT_LINE))
+    return F.filter(F.transform(lines, canonical_line), lambda x: x != "")
 
 
 def digest(text: Column) -> Column:
-    return F.sha2(canonical(text), 256)
+    """The digest of a text's canonical form."""
+    return F.sha2(F.array_join(canonical_lines(text), " "), 256)
 
 
 def known_digests(spark: SparkSession, known: dict[str, str] | DataFrame | None = None) -> DataFrame:
-    """(license_digest, license_id), one row per digest; of equal texts the smallest id counts."""
+    """(license_digest, license_id), one row per digest; of equal texts the smallest id counts, and empty ones none."""
     if not isinstance(known, DataFrame):
         known = spark.createDataFrame(sorted((known or KNOWN).items()), "license_id string, text string")
-    rows = known.select(digest(F.col("text")).alias("license_digest"), "license_id", (canonical(F.col("text")) != "").alias("full"))
-    return rows.filter("full").groupBy("license_digest").agg(F.min("license_id").alias("license_id"))
+    rows = known.select(digest(F.col("text")).alias("license_digest"), "license_id").filter(F.size(canonical_lines(F.col("text"))) > 0)
+    return rows.groupBy("license_digest").agg(F.min("license_id").alias("license_id"))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: dict[str, str] | DataFrame | None = None) -> DataFrame:
-    """Per row: id, canonical_sha256, license_id (of the whole text, or null), notice_lines, notice_ids (sorted, comma-joined).
+    """Per row: doc_id, canonical_sha256, license_id (of the whole text, or null), notice_lines, notice_ids (sorted, comma-joined).
 
     The built-in catalogue has a fixed number of rows, so its digests are broadcast; a catalogue given as a DataFrame
     has no such bound, and Spark picks the join from its size.
     """
     digests = known_digests(docs.sparkSession, known)
     small = digests if isinstance(known, DataFrame) else F.broadcast(digests)
-    base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    whole = base.select("doc_id", digest(F.col("body")).alias("canonical_sha256"))
-    whole = whole.join(small, F.col("canonical_sha256") == F.col("license_digest"), "left").drop("license_digest")
-    lines = base.select("doc_id", F.explode(F.split("body", "\n")).alias("line")).filter(F.trim("line") != "")
-    found = lines.select("doc_id", digest(F.col("line")).alias("d")).join(small, F.col("d") == F.col("license_digest"))
-    found = found.groupBy("doc_id", "license_id").count()
-    found = found.groupBy(F.col("doc_id").alias("hit_id")).agg(F.sum("count").alias("hits"), F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notice_ids"))
-    return whole.join(found, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left").select(
-        "doc_id", "canonical_sha256", "license_id", F.coalesce("hits", F.lit(0)).alias("notice_lines"), F.coalesce("notice_ids", F.lit("")).alias("notice_ids")
+    lines = docs.select(F.col(id_col).alias("doc_id"), canonical_lines(F.col(text_col)).alias("lines"))
+    lines = lines.select("doc_id", F.sha2(F.array_join("lines", " "), 256).alias("canonical_sha256"), F.posexplode(F.concat(F.array(F.array_join("lines", " ")), "lines")).alias("at", "line"))
+    found = lines.withColumn("d", F.when(F.col("at") == 0, F.col("canonical_sha256")).otherwise(F.sha2("line", 256))).drop("line")
+    found = found.join(small, F.col("d") == F.col("license_digest"), "left")
+    notice = (F.col("at") > 0) & F.col("license_id").isNotNull()
+    per_doc = found.groupBy("doc_id", "canonical_sha256").agg(
+        F.max(F.when(F.col("at") == 0, F.col("license_id"))).alias("license_id"),
+        F.count_if(notice).alias("notice_lines"),
+        F.array_join(F.array_sort(F.collect_set(F.when(notice, F.col("license_id")))), ",").alias("notice_ids"),
+        F.count_if(F.col("at") == 0).alias("rows"),
     )
+    return per_doc.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows")))).drop("row", "rows")

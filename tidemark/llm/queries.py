@@ -7,11 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import language_id
 from .common import crc_mod, table
 from .exact_dedup import exact_dedup
 from .license_texts import KNOWN
-from .licenses import COPYRIGHT_LINE, SPELLINGS, TYPOGRAPHIC, scan_licenses
+from .licenses import COPYRIGHT_LINE, PUNCTUATION, SPELLINGS, scan_licenses
+from .media import describe_texts
 from .mixing import NOISE, mix
+from .pieces import digest_texts
+from .secret_scan import scan_secrets, train
+from .token_counts import count_tokens
+
+
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer's file is; workers have the package too."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return describe_texts(table(spark, sf_dir, "documents"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,17 +35,41 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 2) == 0).drop("screened")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = language_id.learn_profiles(docs, ~language_id.held_out())
+    return language_id.identify(docs, profiles).select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_texts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return scan_secrets(docs, train(docs))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_media": op2_media,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
+    "op6_pieces": op6_pieces,
+    "op7_secret_scan": op7_secret_scan,
+    "op9_token_counts": op9_token_counts,
     "op10_license_scan": op10_license_scan,
 }
 
@@ -38,12 +78,13 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _canonical_sql(text: str) -> str:
-    x = f"translate(lower(coalesce({text}, '')), {_quoted(TYPOGRAPHIC[0])}, {_quoted(TYPOGRAPHIC[1])})"
-    x = f"regexp_replace({x}, {_quoted(COPYRIGHT_LINE)}, chr(10), 'g')"
+def _lines_sql(text: str) -> str:
+    """The list of canonical lines."""
+    x = f"regexp_replace(x, {_quoted(PUNCTUATION)}, ' ', 'g')"
     for old, new in SPELLINGS:
         x = f"replace({x}, {_quoted(old)}, {_quoted(new)})"
-    return f"trim(regexp_replace({x}, '[\\x00-\\x2f\\x3a-\\x60\\x7b-\\x7f]+', ' ', 'g'))"
+    kept = f"list_filter(string_split(lower(coalesce({text}, '')), chr(10)), lambda x: NOT regexp_matches(x, {_quoted(COPYRIGHT_LINE)}))"
+    return f"list_filter(list_transform({kept}, lambda x: trim({x})), lambda x: x <> '')"
 
 
 OP3_SQL = """
@@ -79,11 +120,12 @@ SELECT doc_id, size, source_size, target, (size * epochs + greatest(0, least(siz
 """
 
 OP10_SQL = f"""
-WITH known AS (SELECT sha256(c) AS d, min(id) AS license_id FROM (SELECT id, {_canonical_sql('t')} AS c
-  FROM (VALUES {', '.join(f'({_quoted(k)}, {_quoted(v)})' for k, v in sorted(KNOWN.items()))}) v(id, t)) WHERE c <> '' GROUP BY 1),
-whole AS (SELECT doc_id, sha256({_canonical_sql('text')}) AS canonical_sha256 FROM documents),
-lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
-hits AS (SELECT doc_id, license_id FROM (SELECT doc_id, sha256({_canonical_sql('line')}) AS d FROM lines WHERE trim(line) <> '') JOIN known USING (d)),
+WITH catalogue AS (SELECT id, {_lines_sql('t')} AS lines
+  FROM (VALUES {', '.join(f'({_quoted(k)}, {_quoted(v)})' for k, v in sorted(KNOWN.items()))}) v(id, t)),
+known AS (SELECT sha256(array_to_string(lines, ' ')) AS d, min(id) AS license_id FROM catalogue WHERE len(lines) > 0 GROUP BY 1),
+docs AS (SELECT doc_id, {_lines_sql('text')} AS lines FROM documents),
+whole AS (SELECT doc_id, sha256(array_to_string(lines, ' ')) AS canonical_sha256 FROM docs),
+hits AS (SELECT doc_id, license_id FROM (SELECT doc_id, sha256(line) AS d FROM (SELECT doc_id, unnest(lines) AS line FROM docs)) JOIN known USING (d)),
 found AS (SELECT doc_id, count(*)::BIGINT AS notice_lines, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notice_ids FROM hits GROUP BY 1)
 SELECT w.doc_id, canonical_sha256, k.license_id, coalesce(notice_lines, 0)::BIGINT AS notice_lines, coalesce(notice_ids, '') AS notice_ids
 FROM whole w LEFT JOIN known k ON w.canonical_sha256 = k.d LEFT JOIN found f ON w.doc_id IS NOT DISTINCT FROM f.doc_id
