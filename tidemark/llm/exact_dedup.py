@@ -12,29 +12,18 @@ an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import lower_ascii, shipped, written
+from .hashing import mix64
 
 #: Digests a bucket holds on average; a filter of so many takes about 2.3 bytes each.
 BUCKET_KEYS = 100_000
-
-_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-
-
-def mix64(keys: np.ndarray, seed: int) -> np.ndarray:
-    """The 64-bit finaliser of MurmurHash3 over key + seed."""
-    with np.errstate(over="ignore"):
-        h = keys + np.uint64(seed) * _GOLDEN
-        for multiplier in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
-            h = (h ^ (h >> np.uint64(33))) * np.uint64(multiplier)
-        return h ^ (h >> np.uint64(33))
-
+#: Most 64-bit keys of repeated digests that are broadcast (32 MB); more of them are joined by a shuffle.
+BROADCAST_KEYS = 4_000_000
 
 class BinaryFuse:
     """A static 3-wise binary-fuse filter over distinct 64-bit keys, with 16-bit fingerprints."""
@@ -162,17 +151,23 @@ def exact_dedup(docs: DataFrame, in_snapshot: Column, id_col: str = "doc_id", te
     snapshot, incoming = _grouped(narrow.filter("old"), buckets), _grouped(narrow.filter("NOT old"), buckets)
     screened = written(screen(incoming, build_filters(snapshot)), "screened")
     positives = screened.filter("maybe").select("text_sha256")
-    matched = snapshot.select("text_sha256").join(positives, "text_sha256", "left_semi")
-    repeated = snapshot.filter("n > 1").select("text_sha256").union(incoming.filter("n > 1").select("text_sha256")).union(matched).distinct()
-    # The byte check: rows whose digest occurs more than once, by digest and text.
-    texts = written(rows.join(repeated, "text_sha256", "left_semi").groupBy("text_sha256", "norm").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).withColumn("norm", F.when(F.count("*").over(Window.partitionBy("text_sha256")) > 1, F.col("norm"))), "texts")
+    repeated = snapshot.filter("n > 1").select("key64").union(incoming.filter("n > 1").select("key64")).union(snapshot.join(positives, "text_sha256", "left_semi").select("key64"))
+    repeated = written(repeated.distinct(), "repeated")
+    # The byte check: rows whose digest occurs more than once, by digest and text. Only such texts are moved; where
+    # the keys are few enough to broadcast, no others are even sorted. Rows that merely share 64 bits of a digest
+    # with them form groups of their own.
+    few = F.broadcast(repeated) if repeated.count() <= BROADCAST_KEYS else repeated
+    rows = rows.withColumn("key64", digest64(F.col("text_sha256"))).join(few, "key64", "left_semi").drop("key64")
+    texts = rows.groupBy("text_sha256", "norm").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    texts = written(texts.withColumn("norm", F.when(F.count("*").over(Window.partitionBy("text_sha256")) > 1, F.col("norm"))), "texts")
     checked = texts.groupBy("text_sha256").agg(F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count("*").alias("n_texts"))
     clash = checked.filter("n_texts > 1").select("text_sha256")
     cleared = screened.filter("NOT maybe").select("text_sha256", F.lit(True).alias("cleared"))
-    plain = narrow.join(checked.filter("n_texts = 1").drop("n_texts"), "text_sha256", "left").join(clash, "text_sha256", "left_anti")
-    # Different texts of one digest, if there ever are any, are told apart by their bytes.
-    apart = rows.join(clash, "text_sha256", "left_semi").join(texts, ["text_sha256", "norm"]).select("text_sha256", "doc_id", "old", "keep_id", "group_size")
-    result = plain.select("text_sha256", "doc_id", "old", "keep_id", "group_size").union(apart).join(cleared, "text_sha256", "left")
+    result = narrow.join(checked.filter("n_texts = 1").drop("n_texts"), "text_sha256", "left").select("text_sha256", "doc_id", "old", "keep_id", "group_size")
+    if not clash.isEmpty():  # different texts of one digest are told apart by their bytes
+        apart = rows.join(clash, "text_sha256", "left_semi").join(texts, ["text_sha256", "norm"]).select("text_sha256", "doc_id", "old", "keep_id", "group_size")
+        result = result.join(clash, "text_sha256", "left_anti").union(apart)
+    result = result.join(cleared, "text_sha256", "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return result.select(
         "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
