@@ -79,13 +79,13 @@ def slices(batch: pa.RecordBatch, column: int = 1, limit: int = SLICE_BYTES) ->
         yield batch.slice(start)
 
 
-def map_texts(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def map_texts(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, limit: int = SLICE_BYTES) -> DataFrame:
     """Apply `function` to bounded Arrow batches of df, whose second column is text."""
     shipped(df.sparkSession)
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=limit):
                 yield function(part)
 
     return df.mapInArrow(run, schema)

@@ -147,6 +147,20 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
     return map_texts(docs.select(id_col, text_col), run, f"doc_id {id_type}, lang_pred string, score double")
 
 
+def filter_known(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, whose text is given a language."""
+    at = docs.columns.index(text_col)
+    shipped(docs.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, at):
+                lang, _ = profiles.predict([t or "" for t in part.column(at).to_pylist()])
+                yield part.filter(pa.array([x != UNKNOWN for x in lang], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """The query's test fold: crc32 of the id's text, modulo 3, is 1."""
     return crc_mod(F.col(id_col), 3) == 1

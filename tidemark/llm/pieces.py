@@ -165,3 +165,16 @@ def digest_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         )
 
     return map_texts(docs.select(id_col, text_col), run, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, ids (array of int, with begin and end), n_tokens, decoded (the text that the ids decode to)."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        c = codec(path)
+        encoded = c.encode_batch([t or "" for t in batch.column(1).to_pylist()])
+        ids = pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in encoded], pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array([len(x) // 4 for x in encoded], pa.int64()), pa.array(c.decode(encoded), pa.string())], ["doc_id", "ids", "n_tokens", "decoded"])
+
+    return map_texts(docs.select(id_col, text_col), run, f"doc_id {id_type}, ids array<int>, n_tokens long, decoded string")

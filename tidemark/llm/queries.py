@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id
+from . import language_id, toxicity
 from .common import crc_mod, table
 from .exact_dedup import exact_dedup
 from .license_texts import KNOWN
 from .licenses import COPYRIGHT_LINE, PUNCTUATION, SPELLINGS, scan_licenses
 from .media import describe_texts
 from .mixing import NOISE, mix
+from .near_dedup import near_duplicates
 from .pieces import digest_texts
 from .secret_scan import scan_secrets, train
 from .token_counts import count_tokens
@@ -26,6 +27,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return describe_texts(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,19 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(docs, train(docs))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    profiles = language_id.learn_profiles(docs, ~toxicity.held_out())
+    model = toxicity.ToxicityModel(profiles, *toxicity.training_sample(docs, labels, ~toxicity.held_out()))
+    return toxicity.score_toxicity(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -63,14 +81,17 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_media": op2_media,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op6_pieces": op6_pieces,
     "op7_secret_scan": op7_secret_scan,
+    "op8_toxicity": op8_toxicity,
     "op9_token_counts": op9_token_counts,
     "op10_license_scan": op10_license_scan,
+    "pipeline": pipeline,
 }
 
 
