@@ -17,11 +17,11 @@ def payload(columns: list[str]) -> Column:
 
 
 def csv_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A CSV file with every value as text: blanks stay blank, short rows end in nulls. Adds _src_row (first data row: 2) and _raw.
+    """A CSV file with every value as text; blanks, and what short rows lack, are empty texts. Adds _src_row (first data row: 2) and _raw.
 
     Positions follow the order in the file, which zipWithIndex keeps without gathering the file in one task.
     """
-    rows = spark.read.schema(text_schema(columns)).option("header", True).option("mode", "PERMISSIVE").option("nullValue", "\0").option("emptyValue", "").csv(path)
+    rows = spark.read.schema(text_schema(columns)).option("header", True).option("mode", "PERMISSIVE").csv(path).fillna("")
     return with_positions(rows, columns, 2)
 
 
@@ -38,7 +38,7 @@ def json_array(spark: SparkSession, path: str, columns: list[str]) -> tuple[Data
     text parsed again; a text that still does not parse gives no rows and repaired is false. Absent keys are nulls.
     """
     kind = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     mended = F.regexp_replace("value", r"\}\s*\n(\s*)\{", "},\n$1{")
     read = lambda c: F.from_json(c, kind, {"mode": "PERMISSIVE"})
     both = whole.select(read(F.col("value")).alias("straight"), read(mended).alias("mended"))
