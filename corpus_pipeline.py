@@ -31,7 +31,7 @@ from tidemark.llm.queries import tokenizer_file
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of docs whose id is among ids (null is an id)."""
-    return docs.join(ids.select(F.col("doc_id").alias("kept_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return docs.join(ids.select(F.col("doc_id").alias("_kept_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,14 +49,14 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    plan = written(mix(docs).filter("taken > 0").select(F.col("doc_id").alias("mixed_id"), "size", "epochs", "part"), "mix")
-    rows = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("mixed_id")))
-    whole = rows.withColumn("copies", F.col("epochs") + (F.col("part") == F.col("size")).cast("long")).filter("copies > 0")
-    whole = whole.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    plan = mix(docs).filter("taken > 0").select(F.col("doc_id").alias("_mixed_id"), F.col("size").alias("_size"), F.col("epochs").alias("_epochs"), F.col("part").alias("_part"))
+    rows = docs.join(written(plan, "mix"), F.col("doc_id").eqNullSafe(F.col("_mixed_id")))
+    whole = rows.withColumn("_copies", F.col("_epochs") + (F.col("_part") == F.col("_size")).cast("long")).filter("_copies > 0")
+    whole = whole.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
     # The boundary documents, one for a source, keep their first words with the white space before them.
-    cut = rows.filter("part > 0 AND part < size")
+    cut = rows.filter("_part > 0 AND _part < _size")
     words = F.regexp_extract_all("text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
-    text = F.array_join(F.slice(words, F.lit(1), F.col("part").cast("int")), "")
+    text = F.array_join(F.slice(words, F.lit(1), F.col("_part").cast("int")), "")
     cut = cut.withColumn("text", text)
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -67,7 +67,8 @@ def digest(text: Column) -> Column:
 def known_digests(spark: SparkSession, known: dict[str, str] | DataFrame | None = None) -> DataFrame:
     """(license_digest, license_id), one row per digest; of equal texts the smallest id counts, and empty ones none."""
     if not isinstance(known, DataFrame):
-        known = spark.createDataFrame(sorted((known or KNOWN).items()), "license_id string, text string")
+        pairs = F.array(*[F.struct(F.lit(k).alias("license_id"), F.lit(v).alias("text")) for k, v in sorted((known or KNOWN).items())])
+        known = spark.range(1).select(F.inline(pairs))
     rows = known.select(digest(F.col("text")).alias("license_digest"), "license_id").filter(F.size(canonical_lines(F.col("text"))) > 0)
     return rows.groupBy("license_digest").agg(F.min("license_id").alias("license_id"))
 

@@ -3,8 +3,9 @@
 Two first-order Markov models over characters are trained from labelled samples: random strings (drawn by a seeded
 generator over the alphabets that credentials use) and ordinary identifiers (distinct long words of the corpus, and
 pairs of them joined as code joins names; a bounded sample). A run of token characters outside the pattern spans is
-reported if its mean log-likelihood ratio per character passes a threshold, which lies above what the held-out part
-of the ordinary sample reaches and at least half-way to the random sample's median. Pattern spans always stay.
+reported if its mean log-likelihood ratio per character passes a threshold: half-way between the highest of a
+held-out part of the ordinary sample and the lowest twentieth of the random sample where they are apart, else that
+highest. Pattern spans always stay.
 
 Defined results: null counts as empty, and a text without finds has counts of 0 and empty spans; repeated rows each
 get their row; an empty table gives an empty result (and models trained without corpus words); further columns are
@@ -79,8 +80,9 @@ class RandomnessTest:
         held = [s for i, s in enumerate(ordinary) if not i % 5]
         self.ratio = MarkovModel(random).log - MarkovModel(odd).log
         high = max(map(self.score, held), default=0.0)
-        middle = float(np.median([self.score(s) for s in random])) if random else 1.0
-        self.threshold = max(high, middle / 2, 0.0) if high < middle else middle
+        scores = np.array([self.score(s) for s in random] or [1.0])
+        low, middle = float(np.quantile(scores, 0.05)), float(np.median(scores))
+        self.threshold = max((high + low) / 2 if high < low else min(high, middle), 0.0)
 
     def score(self, s: str) -> float:
         codes = encode(s)
