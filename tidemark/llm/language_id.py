@@ -52,13 +52,12 @@ def _vectors(dimension: int = DIMENSION, seed: int = 11) -> list[np.ndarray]:
 
 def document_vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Bundled vectors (texts x dimension) and whether each text has a letter."""
-    classes = _letters()[np.frombuffer("\n".join(texts).encode("utf-32-le"), np.uint32)]
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    owner = np.repeat(np.arange(len(texts)), sizes)[:-1]
+    classes = _letters()[np.frombuffer("".join(f"\n{t}\n" for t in texts).encode("utf-32-le"), np.uint32)]
+    owner = np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)) + 2)
     some = np.bincount(owner, weights=classes > 0, minlength=len(texts)) > 0
-    # Runs of other characters count as one gap.
+    # Runs of other characters count as one gap, and every text begins and ends with one.
     keep = np.ones(len(classes), bool)
-    keep[1:] = (classes[1:] > 0) | (classes[:-1] > 0)
+    keep[1:] = (classes[1:] > 0) | (classes[:-1] > 0) | (owner[1:] != owner[:-1])
     classes, owner = classes[keep].astype(np.int64), owner[keep]
     grams = (classes[:-2] * CLASSES + classes[1:-1]) * CLASSES + classes[2:]
     inside = (owner[:-2] == owner[2:]) & (classes[1:-1] > 0)  # a gap in the middle says little

@@ -24,7 +24,8 @@ from .language_id import Profiles, _letters
 
 BUCKETS, EMBEDDING, FILTERS, WIDTHS = 1 << 16, 16, 16, (1, 2, 3)
 BEGINNINGS = (4, 6, 8)
-PAD = len(WIDTHS) - 1
+#: Empty words behind each text, so that no window reaches the next one.
+PAD = max(WIDTHS)
 #: Bounds of the training sample, by label.
 TOXIC_SAMPLE, CLEAN_SAMPLE = 2_000, 4_000
 SLICE_BYTES = 1_000_000
@@ -78,7 +79,7 @@ class TextCnn:
             for k in range(1, len(kernel)):  # what runs over the end of a text meets its padding
                 value[: n - k] += vectors[k:] @ kernel[k]
             # Windows begin at words, or at the first padding of a text without words.
-            last = begin[1:] - np.maximum(PAD, 1)
+            last = begin[1:] - PAD
             tops = np.maximum.reduceat(value, np.stack([begin[:-1], np.maximum(last, begin[:-1] + 1)], 1).ravel(), axis=0)[::2]
             out[:, i] = tops
             if places:
