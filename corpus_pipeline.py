@@ -11,8 +11,8 @@ of `documents`; further columns of the input are carried along.
    boundary is cut to the words that are left. Documents that take no words go.
 5. pieces: each row is encoded and decoded; its ids come with the text they decode to.
 
-Rows with a null id: they pass language and near dedup by their own text, and exact dedup as the contract of that
-operator has it. Rows that repeat both id and text count once after exact dedup. Empty tables pass every stage.
+Rows with a null id pass language and near dedup by their own text, and of equal texts they stay only if no row with
+an id has that text. Rows that repeat both id and text count once after exact dedup. Empty tables pass every stage.
 """
 
 from __future__ import annotations
@@ -21,17 +21,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import language_id
-from tidemark.llm.common import crc_mod, written
-from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.common import crc_mod, lower_ascii, written
+from tidemark.llm.exact_dedup import BROADCAST_KEYS, exact_dedup
 from tidemark.llm.mixing import mix
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.pieces import encode_decode
 from tidemark.llm.queries import tokenizer_file
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of docs whose id is among ids (null is an id)."""
-    return docs.join(ids.select(F.col("doc_id").alias("_kept_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+def _without(docs: DataFrame, dropped: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of docs whose keys are not among dropped (nulls are equal); broadcast only where the counted keys are few."""
+    dropped = written(dropped.select(*[F.col(k).alias(f"_dropped_{k}") for k in keys]).distinct(), "dropped")
+    few = F.broadcast(dropped) if dropped.count() <= BROADCAST_KEYS else dropped
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_dropped_{k}"))
+    return docs.join(few, same, "left_anti")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,12 +45,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = exact_dedup(docs, crc_mod(F.col("doc_id"), 2) == 0)
-    return _only(docs, found.filter("kept")).dropDuplicates(["doc_id"])
+    found = written(exact_dedup(docs, crc_mod(F.col("doc_id"), 2) == 0).select("doc_id", F.col("text_sha256").alias("_sha"), "kept"), "exact")
+    digest = F.sha2(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), 256)
+    rows = _without(docs.withColumn("_sha", digest), found.filter("NOT kept"), ["doc_id", "_sha"])
+    repeated = found.filter("kept").groupBy("doc_id", "_sha").count().filter("count > 1")
+    if not repeated.isEmpty():  # rows that repeat both id and text
+        rows = rows.dropDuplicates(["doc_id", "_sha"])
+    return rows.select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _only(docs, near_duplicates(docs).filter("kept"))
+    found = near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    return _without(docs, found.filter("NOT kept"), ["doc_id"])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
