@@ -6,9 +6,11 @@
    which two documents differ, which is precise where similarities are high.
 2. Equal fingerprints are one class; only its representative (smallest id) goes on.
 3. Buckets of a band with more than one representative propose links. A bucket does not list its pairs: first, every
-   member meets a handful of hubs, and the pair of the best sketch estimate is confirmed on the full sets; then,
-   between groups that are still apart, the best pair each; at last all pairs of a bucket that still lie in different
-   groups, which are few once the large group of a bucket is connected, as its inner pairs need no proof.
+   member meets a few hubs, and the pair of the best sketch estimate is confirmed on the full sets; then, between
+   groups that are still apart, the best pair each; then, in large buckets, members outside the bucket's largest
+   group look for their nearest sketches in other groups, in numpy over blocks of bounded size, as often as that
+   finds links (four times at most); at last all pairs of a bucket that still lie in different groups. Inner pairs
+   of a group need no proof.
 4. A sketch only ever discards pairs whose estimate lies more than five standard errors below the threshold. All
    others are confirmed by intersecting whole sets.
 
@@ -39,6 +41,10 @@ SKETCH_BITS = 512
 #: Standard errors that a sketch's estimate may lie below the threshold.
 SLACK = 5.0
 HUBS = 3
+#: Buckets up to this size list their pairs in a join; larger ones compare sketches in blocks of BLOCK members.
+SMALL, BLOCK = 24, 2048
+#: Nearest sketches that a member confirms in a round, and most such rounds; what they leave is compared in full.
+NEAREST, ROUNDS = 3, 4
 
 
 @functools.cache
@@ -146,6 +152,71 @@ def _merged(groups: DataFrame | None, edges: DataFrame) -> DataFrame | None:
     return contract(edges)
 
 
+def _split(members: DataFrame, groups: DataFrame | None, sketches: DataFrame) -> DataFrame:
+    """Members of buckets that several groups share: key, size, id, n, odd, g, and few (not of the bucket's largest group)."""
+    if groups is None:
+        placed = members.select("key", "size", "id", F.col("id").alias("g"))
+    else:
+        placed = members.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "size", "id", F.coalesce("root", "id").alias("g"))
+    placed = written(placed, "placed")
+    sizes = placed.groupBy("key", "g").count()
+    mixed = sizes.groupBy("key").agg(F.max(F.struct("count", "g")).alias("top"), F.count("*").alias("groups")).filter("groups > 1").select("key", F.col("top.g").alias("main"))
+    split = placed.join(mixed, "key").withColumn("few", F.col("g") != F.col("main")).drop("main")
+    return written(split.join(sketches, "id"), "split")
+
+
+def _listed(split: DataFrame) -> DataFrame:
+    """Pairs in different groups of small buckets, by a join."""
+    rows = split.filter(F.col("size") <= SMALL)
+    few = rows.filter("few").select("key", F.col("id").alias("a"), F.col("g").alias("ga"))
+    rest = rows.select("key", F.col("id").alias("b"), F.col("g").alias("gb"), F.col("few").alias("few_b"))
+    pairs = few.join(rest, "key").filter("ga <> gb AND (NOT few_b OR a < b)")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _blocks(split: DataFrame, most: int, percent: int, nearest: int | None) -> DataFrame:
+    """Pairs (a, b) of large buckets in different groups whose sketches and sizes leave them possible, with bits.
+
+    Every block of few members meets every block of all members of its bucket in one task of bounded size. With
+    `nearest`, each few member keeps only so many per block. The smaller id is a.
+    """
+    shipped(split.sparkSession)
+    id_type = split.schema["id"].dataType.simpleString()
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    rows = split.filter(F.col("size") > SMALL).withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
+    asking = rows.filter("few").select("key", F.col("own").alias("x"), F.col("other").alias("y"), "id", "g", "n", "odd", F.lit(True).alias("asks"), "few")
+    asked = rows.select("key", F.col("other").alias("x"), F.col("own").alias("y"), "id", "g", "n", "odd", F.lit(False).alias("asks"), "few")
+
+    def compare(group: pa.Table) -> pa.Table:
+        asks = group.column("asks").to_numpy()
+        one, two = group.filter(pa.array(asks)), group.filter(pa.array(~asks))
+        odd = [np.array(t.column("odd").combine_chunks().flatten(), np.int64).view(np.uint64).reshape(-1, SKETCH_BITS // 64) for t in (one, two)]
+        (id1, g1, n1), (id2, g2, n2) = ([t.column(c).to_numpy() for c in ("id", "g", "n")] for t in (one, two))
+        few2 = two.column("few").to_numpy()
+        found = []
+        for i in range(len(id1)):
+            bits = np.bitwise_count(odd[0][i] ^ odd[1]).sum(1, dtype=np.int64)
+            fits = (g2 != g1[i]) & (bits <= most) & (100 * np.minimum(n1[i], n2) >= percent * np.maximum(n1[i], n2))
+            if nearest is None:
+                fits &= ~few2 | (id1[i] < id2)  # a pair of two few members is found from either side
+            at = np.flatnonzero(fits)
+            if nearest is not None:
+                at = at[np.argsort(bits[at], kind="stable")[:nearest]]
+            found.append((np.full(len(at), id1[i]), id2[at], bits[at]))
+        a, b, bits = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found, strict=True) if found else ([], [], [])))
+        return pa.table({"asker": pa.array(a, group.schema.field("id").type), "a": pa.array(np.minimum(a, b), group.schema.field("id").type), "b": pa.array(np.maximum(a, b), group.schema.field("id").type), "bits": pa.array(bits, pa.int64())})
+
+    return asking.unionByName(asked).groupBy("key", "x", "y").applyInArrow(compare, f"asker {id_type}, a {id_type}, b {id_type}, bits long")
+
+
+def _nearest(split: DataFrame, tested: DataFrame, most: int, percent: int) -> DataFrame:
+    """For each member of large buckets outside their main group, the NEAREST untested members of other groups."""
+    close = _blocks(split, most, percent, 2 * NEAREST).join(tested, ["a", "b"], "left_anti")
+    close = close.groupBy("asker").agg(F.slice(F.array_sort(F.collect_set(F.struct("bits", "a", "b"))), 1, NEAREST).alias("best"))
+    return written(close.select(F.explode("best").alias("p")).select("p.a", "p.b").distinct(), "nearest")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest id reachable), kept (doc_id is that id)."""
     most = most_bits(percent / 100)
@@ -159,7 +230,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     keys = classes.select("id", F.explode("bands").alias("key"))
     hubs = [F.min("id"), F.max("id"), *(F.min_by("id", F.xxhash64("id", F.lit(k))) for k in range(HUBS - 2))]
     shared = keys.groupBy("key").agg(F.count("*").alias("size"), F.array_distinct(F.array(*hubs)).alias("hubs")).filter("size > 1")
-    members = written(keys.join(shared.select("key", "hubs"), "key"), "members")
+    members = written(keys.join(shared.select("key", "size", "hubs"), "key"), "members")
     ids = members.select("id").distinct()
     sketches = classes.select("id", "n", "odd")
     texts = written(own.join(ids, "id", "left_semi"), "texts")
@@ -167,25 +238,28 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     to_hub = members.select(F.col("id").alias("a"), F.explode("hubs").alias("b")).filter("a <> b").distinct()
     to_hub = written(_screened(to_hub, sketches, most, percent), "hubs")
     best = to_hub.groupBy("a").agg(F.min_by("b", F.struct("bits", "b")).alias("b"))
+    tested = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     groups = _merged(None, written(confirm(best, texts, words, percent), "links"))
     if groups is not None:
         # Between groups that are still apart, the best pair of each two.
         apart = _with_groups(to_hub, groups).join(best, ["a", "b"], "left_anti")
         best = apart.groupBy(F.least("ga", "gb"), F.greatest("ga", "gb")).agg(F.min(F.struct("bits", "a", "b")).alias("pair")).select("pair.a", "pair.b")
         groups = _merged(groups, written(confirm(best, texts, words, percent), "links"))
-    # What is left: pairs of a bucket in different groups. The bucket's largest group is met by the others only.
-    node = F.col("id") if groups is None else F.coalesce("root", "id")
-    placed = members.select("key", "id") if groups is None else members.select("key", "id").join(groups.withColumnRenamed("node", "id"), "id", "left")
-    placed = written(placed.select("key", "id", node.alias("g")), "placed")
-    sizes = placed.groupBy("key", "g").count()
-    mixed = sizes.groupBy("key").agg(F.max(F.struct("count", "g")).alias("top"), F.count("*").alias("groups")).filter("groups > 1").select("key", F.col("top.g").alias("main"))
-    split = written(placed.join(mixed, "key"), "split")
-    few = split.filter("g <> main").select("key", F.col("id").alias("a"), F.col("g").alias("ga"), "main")
-    rest = split.select("key", F.col("id").alias("b"), F.col("g").alias("gb"))
-    pairs = few.join(rest, "key").filter("ga <> gb AND (gb = main OR a < b)")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    left = written(confirm(_screened(pairs, sketches, most, percent), texts, words, percent), "links")
-    groups = _merged(groups, left)
+        tested = tested.union(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    tested = written(tested.distinct(), "tested")
+    for _ in range(ROUNDS):
+        pairs = _nearest(_split(members, groups, sketches), tested, most, percent)
+        links = written(confirm(pairs, texts, words, percent), "links")
+        tested = tested.union(pairs)
+        if links.isEmpty():
+            break
+        groups = _merged(groups, links)
+    # What is left: all pairs of a bucket that are in different groups.
+    split = _split(members, groups, sketches)
+    small = _screened(_listed(split), sketches, most, percent).select("a", "b")
+    large = _blocks(split, most, percent, None).select("a", "b")
+    pairs = written(small.union(large).distinct().join(tested, ["a", "b"], "left_anti"), "rest")
+    groups = _merged(groups, written(confirm(pairs, texts, words, percent), "links"))
     of_class = some.join(classes.select("fp1", "fp2", "n", F.col("id").alias("rep")), ["fp1", "fp2", "n"]).select("id", "fp1", "fp2", "n", "rep")
     result = of_class if groups is None else of_class.join(groups.select(F.col("node").alias("rep"), "root"), "rep", "left")
     found = F.col("rep") if groups is None else F.coalesce("root", "rep")
