@@ -177,7 +177,7 @@ def _listed(split: DataFrame) -> DataFrame:
 def _blocks(split: DataFrame, most: int, percent: int, nearest: int | None) -> DataFrame:
     """Pairs (a, b) of large buckets in different groups whose sketches and sizes leave them possible, with bits.
 
-    Every block of few members meets every block of all members of its bucket in one task of bounded size. With
+    A pair that shares several bands is told in the first of them only (if that bucket is small, by _listed). Every block of few members meets every block of all members of its bucket in one task of bounded size. With
     `nearest`, each few member keeps only so many per block. The smaller id is a.
     """
     shipped(split.sparkSession)
@@ -185,13 +185,16 @@ def _blocks(split: DataFrame, most: int, percent: int, nearest: int | None) -> D
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     rows = split.filter(F.col("size") > SMALL).withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
-    asking = rows.filter("few").select("key", F.col("own").alias("x"), F.col("other").alias("y"), "id", "g", "n", "odd", F.lit(True).alias("asks"), "few")
-    asked = rows.select("key", F.col("other").alias("x"), F.col("own").alias("y"), "id", "g", "n", "odd", F.lit(False).alias("asks"), "few")
+    asking = rows.filter("few").select("key", F.col("own").alias("x"), F.col("other").alias("y"), "id", "g", "n", "odd", "bands", F.lit(True).alias("asks"), "few")
+    asked = rows.select("key", F.col("other").alias("x"), F.col("own").alias("y"), "id", "g", "n", "odd", "bands", F.lit(False).alias("asks"), "few")
 
     def compare(group: pa.Table) -> pa.Table:
         asks = group.column("asks").to_numpy()
         one, two = group.filter(pa.array(asks)), group.filter(pa.array(~asks))
-        odd = [np.array(t.column("odd").combine_chunks().flatten(), np.int64).view(np.uint64).reshape(-1, SKETCH_BITS // 64) for t in (one, two)]
+        numbers = lambda t, c, n: np.array(t.column(c).combine_chunks().flatten(), np.int64).reshape(-1, n)
+        odd = [numbers(t, "odd", SKETCH_BITS // 64).view(np.uint64) for t in (one, two)]
+        bands = [numbers(t, "bands", BANDS) for t in (one, two)]
+        key = group.column("key")[0].as_py()
         (id1, g1, n1), (id2, g2, n2) = ([t.column(c).to_numpy() for c in ("id", "g", "n")] for t in (one, two))
         few2 = two.column("few").to_numpy()
         found = []
@@ -201,6 +204,8 @@ def _blocks(split: DataFrame, most: int, percent: int, nearest: int | None) -> D
             if nearest is None:
                 fits &= ~few2 | (id1[i] < id2)  # a pair of two few members is found from either side
             at = np.flatnonzero(fits)
+            shared = bands[1][at] == bands[0][i]
+            at = at[bands[1][at, shared.argmax(1)] == key]
             if nearest is not None:
                 at = at[np.argsort(bits[at], kind="stable")[:nearest]]
             found.append((np.full(len(at), id1[i]), id2[at], bits[at]))
@@ -232,7 +237,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     shared = keys.groupBy("key").agg(F.count("*").alias("size"), F.array_distinct(F.array(*hubs)).alias("hubs")).filter("size > 1")
     members = written(keys.join(shared.select("key", "size", "hubs"), "key"), "members")
     ids = members.select("id").distinct()
-    sketches = classes.select("id", "n", "odd")
+    sketches = classes.select("id", "n", "odd", "bands")
     texts = written(own.join(ids, "id", "left_semi"), "texts")
     # Every member and the hub that its sketch likes best.
     to_hub = members.select(F.col("id").alias("a"), F.explode("hubs").alias("b")).filter("a <> b").distinct()
