@@ -42,6 +42,32 @@ def test_random_strings_are_told_from_identifiers():
     assert not any(map(test.is_random, ["customer_description_processing", "internationalconfigurationrepository"]))
 
 
+WORDS = [
+    f"{a}{b}" for a in ("custom", "account", "transact", "national", "configur", "environ", "product", "share", "local", "connect", "credent", "data", "write", "market")
+    for b in ("identify", "posit", "describe", "validate", "ment", "process", "ing", "base", "ion", "house", "ial", "able")
+]
+
+
+def ordinary(more=()):
+    return [*WORDS, *more, *secret_scan.compounds(WORDS * 20), *secret_scan.numbered(WORDS * 20)]
+
+
+def test_random_part_of_a_run():
+    """Keys behind paths and names, between words, beside pattern spans, and of 12 characters."""
+    test = secret_scan.RandomnessTest(secret_scan.random_strings(3000), ordinary())
+    path, name = "/usr/local/share/configuration/production/environment/", "production_environment_database_connection_credential="
+    find = lambda t: secret_scan.all_spans(t, secret_scan.base_spans(t), test)
+    assert not find(path) and not find(name) and not find("-" * 40 + " 2024-01-15T10 1999-12-31")
+    keys = [s[:24] for s in secret_scan.random_strings(300, 8)[::6]]  # letters of both cases and digits
+    for before in ("", path, name):
+        assert sum(find(before + k) == [(len(before), 3, len(before) + len(k))] for k in keys) >= 48, before
+        assert sum(bool(find(before + k[:12])) for k in keys) >= 47, before
+    two = f"{path}{keys[0]}/local/configuration/production/environment/{keys[1]}"
+    assert [two[a:b] for a, _, b in find(two)] == keys[:2]
+    beside = f"0123456789abcdef/{keys[2]}"
+    assert [(beside[a:b], k) for a, k, b in find(beside)] == [("0123456789abcdef", 2), (keys[2], 3)]
+
+
 def test_secrets_hard_rows(hard, empty):
     test = secret_scan.train(hard)
     got = secret_scan.scan_secrets(hard, test).collect()
