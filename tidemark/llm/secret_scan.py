@@ -58,6 +58,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 KINDS = ("assign", "access", "hex", "random")
 
+#: For the ordinary sample, in Java's syntax: what the base scan takes as a value, and words of one case that stand alone.
+BASE_VALUES = r"""(?i:password|passwd|secret|token|api_?key)["']? *[:=] *["']?[A-Za-z0-9+/_.=-]{12,}|AKIA[A-Z0-9]+|[0-9a-f]{16,}"""
+PLAIN_WORD = r"(?<![\p{L}\p{M}0-9+/_=-])(\p{Lu}?[\p{Ll}\p{Lo}\p{M}]{7,39}|\p{Lu}{8,40})(?![\p{L}\p{M}0-9+/_=-])"
+
 
 class MarkovModel:
     """First-order transition log-probabilities with add-one smoothing, a fifth of them by classes of characters.
@@ -172,13 +176,17 @@ def random_strings(n: int = RANDOM_SAMPLE, seed: int = 7) -> list[str]:
 
 
 def ordinary_strings(docs: DataFrame, n: int = ORDINARY_SAMPLE, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
-    """The sample labelled ordinary: up to n distinct words of 8 to 40 letters, from about sample_docs documents by hash of the id, as many joined pairs, and numbered ones."""
+    """The sample labelled ordinary: up to n distinct words of 8 to 40 letters, from about sample_docs documents by hash of the id, as many joined pairs, and numbered ones.
+
+    Letters inside the base scan's values, beside digits or separators, or of mixed case may be parts of keys and are no words here.
+    """
     total = docs.count()
     if not total:
         return []
     share = min(1.0, sample_docs / total)
     chosen = docs.filter(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1_000_000)) < F.lit(int(share * 1_000_000) + 1))
-    words = chosen.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(r"(\p{L}{8,40})"), F.lit(1))).alias("word")).distinct()
+    plain = F.regexp_replace(F.col(text_col), F.lit(BASE_VALUES), F.lit(" "))
+    words = chosen.select(F.explode(F.regexp_extract_all(plain, F.lit(PLAIN_WORD), F.lit(1))).alias("word")).distinct()
     found = [r.word for r in words.orderBy(F.md5("word"), "word").limit(n).collect()]
     joined = [f"{a}{sep}{b}" for a, b, sep in zip(found, found[1:], ("_", "-", "", "/") * len(found), strict=False)]
     camel = [f"{a.lower()}{b.capitalize()}" for a, b in zip(found[::2], found[1::2], strict=False)]
