@@ -1,5 +1,6 @@
 import hashlib
 import re
+import textwrap
 
 from tests.llm.samples import SF
 
@@ -102,6 +103,24 @@ def test_licences(spark, hard, empty):
     assert sorted(r.doc_id for r in licenses.scan_licenses(hard, known=own).collect() if r.license_id == "X") == [1, 2]
 
 
+def ids(spark, texts):
+    rows = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [r.license_id for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_wrapped_texts(spark):
+    """Where a text is wrapped makes no difference, comment signs or not; clauses that begin with the word copyright stay."""
+    for name in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC"):
+        texts = [
+            "Copyright 2020 Somebody\n\n" + "\n\n".join("\n".join(sign + x for x in textwrap.wrap(p, width)) for p in KNOWN[name].split("\n\n"))
+            for width in range(20, 100) for sign in ("", " * ", "// ")
+        ]
+        assert any(re.search(r"(?i)\n(// | \* )?copyright (notice|holder)", t) for t in texts)
+        assert set(ids(spark, texts)) == {name}
+    own = licenses.known_digests(spark, {"X": "the\ncopyright owner and the sub\nlicense"}).collect()
+    assert {r.license_digest for r in own} >= {hashlib.sha256(b"the copyright holder and the sublicense").hexdigest()}
+
+
 def test_no_python_on_the_way(spark):
     plan = QUERIES["op10_license_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|ExistingRDD", plan)

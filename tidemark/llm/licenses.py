@@ -2,8 +2,11 @@
 
 A text is normalised line by line (case, copyright lines, equivalent spellings, punctuation and spacing), its lines
 are joined, and the digest is hash-joined to the digests of known licence texts that went through the same
-expression. Every line is looked up as a text of its own too, since documents often carry a one-line grant. Whole
-text and lines come out of one pass, and only one row per document is shuffled.
+expression. A whole text that this does not match is looked up in its flowing form, in which only copyright notices
+are dropped and lines are joined before spellings are replaced, so that it does not depend on where lines
+are broken; `canonical_sha256` is the digest of the first form. Every line is looked up as a text of its own too, since
+documents often carry a one-line grant. Whole text and lines come out of one pass, and only one row per document is
+shuffled.
 
 Defined results: null or empty texts have the digest of the empty string and match nothing; repeated rows each get
 their own result row, and rows of one id (null is an id too) and one canonical text share the notices of all of them;
@@ -40,6 +43,8 @@ SPELLINGS = (
 )
 
 COPYRIGHT_LINE = "^[ \t/*#;%.-]*(copyright|\\(c\\)|©|all rights reserved)"
+#: On lower-cased text: a copyright notice (a sign, a year or a blank to fill in), and the sentence that often follows alone.
+NOTICE_LINE = r"(?md)^[ \t/*#;%.-]*(?:copyright[ \t:,]*(?:\(c\)|©|(?:19|20)[0-9y]{2}|[<\[{]).*|(?:\(c\)|©)[ \t]*(?:copyright|(?:19|20)[0-9]{2}).*|all rights reserved[ \t\r.*/#]*)$"
 #: ASCII characters other than letters, digits and line feeds, and typographic ones.
 PUNCTUATION = "[\\x00-\\x09\\x0b-\\x2f\\x3a-\\x60\\x7b-\\x7f\u00a0©‘’“”–—…·•]+"
 
@@ -64,13 +69,32 @@ def digest(text: Column) -> Column:
     return F.sha2(F.array_join(canonical_lines(text), " "), 256)
 
 
+def flowing(text: Column) -> Column:
+    """The text without notices, as one canonical line; null counts as empty."""
+    x = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOTICE_LINE, "")
+    return canonical_line(F.translate(x, "\n", " "))
+
+
 def known_digests(spark: SparkSession, known: dict[str, str] | DataFrame | None = None) -> DataFrame:
-    """(license_digest, license_id), one row per digest; of equal texts the smallest id counts, and empty ones none."""
-    if not isinstance(known, DataFrame):
+    """(license_digest, license_id), one row per digest of either form; of equal texts the smallest id counts, that of the first form before, and empty ones none.
+
+    A catalogue that is not a DataFrame has a fixed number of texts: their digests are computed here and come as literals.
+    """
+    built_in = not isinstance(known, DataFrame)
+    if built_in:
         pairs = F.array(*[F.struct(F.lit(k).alias("license_id"), F.lit(v).alias("text")) for k, v in sorted((known or KNOWN).items())])
         known = spark.range(1).select(F.inline(pairs))
-    rows = known.select(digest(F.col("text")).alias("license_digest"), "license_id").filter(F.size(canonical_lines(F.col("text"))) > 0)
-    return rows.groupBy("license_digest").agg(F.min("license_id").alias("license_id"))
+    text = F.col("text")
+    forms = F.array(
+        F.struct(F.lit(0).alias("form"), digest(text).alias("license_digest"), (F.size(canonical_lines(text)) > 0).alias("any")),
+        F.struct(F.lit(1).alias("form"), F.sha2(flowing(text), 256).alias("license_digest"), (flowing(text) != "").alias("any")),
+    )
+    rows = known.select("license_id", F.inline(forms)).filter("any")
+    rows = rows.groupBy("license_digest").agg(F.min(F.struct("form", "license_id"))["license_id"].alias("license_id"))
+    if built_in:
+        pairs = F.array(*[F.struct(F.lit(r.license_digest).alias("license_digest"), F.lit(r.license_id).alias("license_id")) for r in rows.sort("license_digest").collect()])
+        rows = spark.range(1).select(F.inline(pairs))
+    return rows
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: dict[str, str] | DataFrame | None = None) -> DataFrame:
@@ -81,13 +105,13 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     digests = known_digests(docs.sparkSession, known)
     small = digests if isinstance(known, DataFrame) else F.broadcast(digests)
-    lines = docs.select(F.col(id_col).alias("doc_id"), canonical_lines(F.col(text_col)).alias("lines"))
-    lines = lines.select("doc_id", F.sha2(F.array_join("lines", " "), 256).alias("canonical_sha256"), F.posexplode(F.concat(F.array(F.array_join("lines", " ")), "lines")).alias("at", "line"))
+    lines = docs.select(F.col(id_col).alias("doc_id"), canonical_lines(F.col(text_col)).alias("lines"), flowing(F.col(text_col)).alias("flow"))
+    lines = lines.select("doc_id", F.sha2(F.array_join("lines", " "), 256).alias("canonical_sha256"), F.posexplode(F.concat(F.array(F.array_join("lines", " "), "flow"), "lines")).alias("at", "line"))
     found = lines.withColumn("d", F.when(F.col("at") == 0, F.col("canonical_sha256")).otherwise(F.sha2("line", 256))).drop("line")
     found = found.join(small, F.col("d") == F.col("license_digest"), "left")
-    notice = (F.col("at") > 0) & F.col("license_id").isNotNull()
+    notice = (F.col("at") > 1) & F.col("license_id").isNotNull()
     per_doc = found.groupBy("doc_id", "canonical_sha256").agg(
-        F.max(F.when(F.col("at") == 0, F.col("license_id"))).alias("license_id"),
+        F.coalesce(F.max(F.when(F.col("at") == 0, F.col("license_id"))), F.max(F.when(F.col("at") == 1, F.col("license_id")))).alias("license_id"),
         F.count_if(notice).alias("notice_lines"),
         F.array_join(F.array_sort(F.collect_set(F.when(notice, F.col("license_id")))), ",").alias("notice_ids"),
         F.count_if(F.col("at") == 0).alias("rows"),
