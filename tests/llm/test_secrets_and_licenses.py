@@ -4,7 +4,7 @@ import textwrap
 
 from tests.llm.samples import SF
 
-from tidemark.llm import licenses, secret_scan
+from tidemark.llm import license_texts, licenses, secret_scan
 from tidemark.llm.license_texts import KNOWN
 from tidemark.llm.queries import QUERIES
 
@@ -108,6 +108,16 @@ def ids(spark, texts):
     return [r.license_id for r in sorted(rows, key=lambda r: r.doc_id)]
 
 
+def test_whole_texts_and_titles(spark):
+    whole = license_texts.whole_texts()
+    assert set(whole) >= {"Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense"}
+    assert ids(spark, whole.values()) == list(whole)
+    terms = whole["Apache-2.0"].split("APPENDIX")[0]
+    titles = {"The MIT License (MIT)": "MIT", "BSD 3-Clause License": "BSD-3-Clause", 'BSD 2-Clause "Simplified" License': "BSD-2-Clause", "ISC License": "ISC"}
+    titled = [f"{t}\n\nCopyright (c) 2020, Somebody\nAll rights reserved.\n\n{KNOWN[i]}" for t, i in titles.items()]
+    assert ids(spark, [terms, *titled, "The Unlicense\n\n" + whole["Unlicense"], "MIT License", "All about the MIT License"]) == ["Apache-2.0-terms", *titles.values(), "Unlicense", None, None]
+
+
 def test_wrapped_texts(spark):
     """Where a text is wrapped makes no difference, comment signs or not; clauses that begin with the word copyright stay."""
     for name in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC"):

@@ -1,4 +1,9 @@
-"""Texts of well-known licences and of the one-line grants that stand for them."""
+"""Texts of well-known licences and of the one-line grants that stand for them.
+
+The long ones lie whole in `license_files`, one a file named by its id.
+"""
+
+from importlib.resources import files
 
 KNOWN = {
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -65,3 +70,22 @@ You should have received a copy of the GNU General Public License along with thi
     "GPL-3.0-grant": "This work is licensed under the GNU General Public License, version 3.",
     "MIT-grant": "Released under the MIT License.",
 }
+
+#: Where the terms of a long text end; instructions how to apply them follow, which many copies leave out.
+TERMS_END = "END OF TERMS AND CONDITIONS"
+
+
+def whole_texts() -> dict[str, str]:
+    """The long texts by id; where instructions follow the terms, the terms alone as `<id>-terms`, with and without their end line."""
+    out = {}
+    for file in sorted(files(__package__).joinpath("license_files").iterdir(), key=lambda f: f.name):
+        if not file.name.endswith(".txt"):
+            continue
+        name, text = file.name.removesuffix(".txt"), file.read_text("utf-8")
+        out[name] = text
+        terms, end, _ = text.partition(TERMS_END)
+        if end:
+            out[f"{name}-terms"], out[f"{name}-terms-unended"] = terms + end, terms
+    text = out["Unlicense"]
+    out["Unlicense-unlinked"] = text[: text.index("For more information")]
+    return out

@@ -3,11 +3,13 @@
 A text is normalised line by line (case, copyright lines, equivalent spellings, punctuation and spacing), its lines
 are joined, and the digest is hash-joined to the digests of known licence texts that went through the same
 expression. A whole text that this does not match is looked up in its flowing form, in which only copyright notices
-are dropped and lines are joined before spellings are replaced, so that it does not depend on where lines
+and a title are dropped and lines are joined before spellings are replaced, so that it does not depend on where lines
 are broken; `canonical_sha256` is the digest of the first form. Every line is looked up as a text of its own too, since
 documents often carry a one-line grant. Whole text and lines come out of one pass, and only one row per document is
 shuffled.
 
+The catalogue holds `KNOWN` and the whole texts of `license_files`; a text of another licence, or edited, matches nothing.
+
 Defined results: null or empty texts have the digest of the empty string and match nothing; repeated rows each get
 their own result row, and rows of one id (null is an id too) and one canonical text share the notices of all of them;
 an empty table gives an empty result; further columns are ignored.
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .license_texts import KNOWN
+from .license_texts import KNOWN, whole_texts
 
 #: Spellings that licence comparison treats as equal, as (pattern on lower-cased text, replacement).
 SPELLINGS = (
@@ -45,6 +47,12 @@ SPELLINGS = (
 COPYRIGHT_LINE = "^[ \t/*#;%.-]*(copyright|\\(c\\)|©|all rights reserved)"
 #: On lower-cased text: a copyright notice (a sign, a year or a blank to fill in), and the sentence that often follows alone.
 NOTICE_LINE = r"(?md)^[ \t/*#;%.-]*(?:copyright[ \t:,]*(?:\(c\)|©|(?:19|20)[0-9y]{2}|[<\[{]).*|(?:\(c\)|©)[ \t]*(?:copyright|(?:19|20)[0-9]{2}).*|all rights reserved[ \t\r.*/#]*)$"
+#: The usual titles of texts that stand without one in the catalogue, on a line of their own at the head.
+TITLE = (
+    r"^[^\p{L}\p{N}]*(?:the )?(?:mit|isc|expat|x11|zlib(?:/libpng)?|unlicense|"
+    r"(?:(?:new|modified|revised|simplified|zero[- ]clause|[0-4][- ]clause) )?bsd(?:[- ](?:[0-4]|zero)[- ]clause)?(?: [\"“]?(?:new|revised|simplified|modified)[\"”]?(?: or [\"“]?(?:new|revised|simplified)[\"”]?)?)?)"
+    r"(?: licen[sc]e)?(?: ?\([^)\n]{1,40}\))?[^\p{L}\p{N}\n]*(?=\n)"
+)
 #: ASCII characters other than letters, digits and line feeds, and typographic ones.
 PUNCTUATION = "[\\x00-\\x09\\x0b-\\x2f\\x3a-\\x60\\x7b-\\x7f\u00a0©‘’“”–—…·•]+"
 
@@ -70,9 +78,9 @@ def digest(text: Column) -> Column:
 
 
 def flowing(text: Column) -> Column:
-    """The text without notices, as one canonical line; null counts as empty."""
+    """The text without notices and title, as one canonical line; null counts as empty."""
     x = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOTICE_LINE, "")
-    return canonical_line(F.translate(x, "\n", " "))
+    return canonical_line(F.translate(F.regexp_replace(x, TITLE, ""), "\n", " "))
 
 
 def known_digests(spark: SparkSession, known: dict[str, str] | DataFrame | None = None) -> DataFrame:
@@ -82,7 +90,7 @@ def known_digests(spark: SparkSession, known: dict[str, str] | DataFrame | None
     """
     built_in = not isinstance(known, DataFrame)
     if built_in:
-        pairs = F.array(*[F.struct(F.lit(k).alias("license_id"), F.lit(v).alias("text")) for k, v in sorted((known or KNOWN).items())])
+        pairs = F.array(*[F.struct(F.lit(k).alias("license_id"), F.lit(v).alias("text")) for k, v in sorted((known or KNOWN | whole_texts()).items())])
         known = spark.range(1).select(F.inline(pairs))
     text = F.col("text")
     forms = F.array(
