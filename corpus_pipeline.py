@@ -8,7 +8,7 @@ of `documents`; further columns of the input are carried along.
 2. exact dedup: of equal texts (A-Z as a-z) the row with the largest id stays.
 3. near dedup: of documents linked by five-word shingles at 0.8 or more, the smallest id of each group stays.
 4. mixing: sources come to their target weights; documents repeat for complete epochs, and the document at a source's
-   boundary is cut to the words that are left. Documents that take no words go.
+   boundary comes whole, so that a source passes its target by less than one document. Documents that take no words go.
 5. pieces: each row is encoded and decoded; its ids come with the text they decode to.
 
 Rows with a null id pass language and near dedup by their own text, and of equal texts they stay only if no row with
@@ -60,18 +60,12 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    plan = mix(docs).filter("taken > 0").select(F.col("doc_id").alias("_mixed_id"), F.col("size").alias("_size"), F.col("epochs").alias("_epochs"), F.col("part").alias("_part"))
-    rows = docs.join(written(plan, "mix"), F.col("doc_id").eqNullSafe(F.col("_mixed_id")))
-    whole = rows.withColumn("_copies", F.col("_epochs") + (F.col("_part") == F.col("_size")).cast("long")).filter("_copies > 0")
-    whole = whole.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
-    # The boundary documents, one for a source, keep their first words with the white space before them.
-    cut = rows.filter("_part > 0 AND _part < _size")
-    words = F.regexp_extract_all("text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
-    text = F.array_join(F.slice(words, F.lit(1), F.col("_part").cast("int")), "")
-    cut = cut.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return whole.unionByName(cut.select(*docs.columns))
+    # Rows are numbered once, in what is read back, so that each meets its own row of the plan whatever its id.
+    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    copies = (F.col("epochs") + (F.col("part") > 0).cast("long")).alias("_copies")
+    plan = mix(numbered, row_col="_row").filter("taken > 0").select(F.col("row").alias("_planned"), copies)
+    rows = numbered.join(written(plan, "mix"), F.col("_row") == F.col("_planned"))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,12 @@
+from collections import Counter
+
 import corpus_pipeline
+from pyspark.sql import functions as F
 from tests.llm.samples import SF
 from tests.llm.test_near import brute
 
+from tidemark.llm.mixing import mix
+
 STAGES = dict(corpus_pipeline.STAGES)
 
 
@@ -37,3 +42,19 @@ def test_hard_and_empty_tables(spark, hard, empty):
         assert sorted(out.columns) == sorted(hard.columns) and out.count() > 0, name
         assert stage(spark, empty, SF).count() == 0, name
     assert STAGES["pieces"](spark, hard, SF).count() == 15
+
+
+def test_mixing_meets_each_row_once(spark):
+    """Rows that share an id, null or not, each take what the plan gives them, and documents stay whole."""
+    rows = [(None, f"text {i} " + "w " * (i % 7), "en", "a") for i in range(60)] + [(5, f"other {i}", "en", "b") for i in range(40)] + [(5, "other 1", "en", "b"), (6, "one two three four five", "en", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = STAGES["mixing"](spark, docs, SF).collect()
+    given = Counter((r[0], r[3], r[1]) for r in rows)
+    found = Counter((r.doc_id, r.source, r.text) for r in out)
+    assert set(found) <= set(given)
+    plan = {r.source: r for r in mix(docs).select("source_size", "target", "epochs", F.when(F.col("doc_id").isNull(), "a").when(F.col("doc_id") == 5, "b").alias("source")).distinct().collect()}
+    for source, p in plan.items():
+        words = {k: len(k[2].split()) for k in given if k[1] == source}
+        total = sum(n * words[k] for k, n in found.items() if k[1] == source)
+        assert int(p.target) <= total < p.target + max(words.values())
+        assert all(p.epochs * n <= found[k] <= (p.epochs + 1) * n for k, n in given.items() if k[1] == source)

@@ -45,9 +45,10 @@ def uniform(doc_id: Column, salt: str = "mix") -> Column:
     return (bits + 0.5) / float(1 << 52)
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, size, key, bucket) of every row; smaller keys are chosen first."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"), quality_weight(F.col(text_col)).alias("quality"))
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
+    """(doc_id, source, size, key, bucket) of every row, and its row number where there is one; smaller keys are chosen first."""
+    number = [F.col(row_col).alias("row")] if row_col else []
+    rows = docs.select(*number, F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"), quality_weight(F.col(text_col)).alias("quality"))
     rows = rows.withColumn("key", -F.log(uniform(F.col("doc_id"))) / F.col("quality")).drop("quality")
     body, tail = F.floor((1 - F.exp(-F.col("key"))) * 65536), 65536 + F.floor((F.col("key") - 8) * 512)
     return rows.withColumn("bucket", F.when(F.col("key") < 8, body).otherwise(tail).cast("long"))
@@ -82,9 +83,13 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     )
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, share: float = 1.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Per row: doc_id, size, source_size, target, taken (words, repeats counted), epochs, part (words of the last pass)."""
-    rows = written(keyed(docs, id_col, text_col, source_col), "keys")
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, share: float = 1.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
+    """Per row: doc_id, size, source_size, target, taken (words, repeats counted), epochs, part (words of the last pass).
+
+    With `row_col`, a column that numbers the rows, each row comes with its number (row), which also breaks ties of ids.
+    """
+    rows = written(keyed(docs, id_col, text_col, source_col, row_col), "keys")
+    number = ["row"] if row_col else []
     histogram = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     plan = written(targets(histogram.groupBy("source").agg(F.sum("words").alias("source_size")), weights, cap, share), "plan")
     # The bucket in which a source's running total passes its rest, and the total before that bucket.
@@ -94,11 +99,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, sha
     edge = edge.groupBy(F.col("s.source").alias("source")).agg(F.min(F.struct("bucket", "prior")).alias("edge"))
     plan = written(plan.join(edge, plan["source"].eqNullSafe(edge["source"]), "left").select(plan["*"], "edge.bucket", "edge.prior"), "edges").alias("p")
     planned = rows.alias("r").join(plan, F.expr("r.source <=> p.source")).select(
-        "r.doc_id", "r.size", "r.key", "r.source", "p.source_size", "p.target", "p.epochs", "p.rest", "p.prior", F.col("r.bucket").alias("own"), F.col("p.bucket").alias("edge")
+        *[f"r.{c}" for c in number], "r.doc_id", "r.size", "r.key", "r.source", "p.source_size", "p.target", "p.epochs", "p.rest", "p.prior", F.col("r.bucket").alias("own"), F.col("p.bucket").alias("edge")
     )
-    out = ["doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs") + F.col("part")).alias("taken"), "epochs", "part"]
+    out = [*number, "doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs") + F.col("part")).alias("taken"), "epochs", "part"]
     clear = planned.filter("NOT (own <=> edge)").withColumn("part", F.when(F.col("own") < F.coalesce("edge", F.lit(-1)), F.col("size")).otherwise(F.lit(0)))
-    close = Window.partitionBy("source").orderBy("key", F.col("doc_id").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    close = Window.partitionBy("source").orderBy("key", F.col("doc_id").asc_nulls_last(), *number).rowsBetween(Window.unboundedPreceding, -1)
     edge_rows = planned.filter("own <=> edge").withColumn("before", F.col("prior") + F.coalesce(F.sum("size").over(close), F.lit(0)))
     edge_rows = edge_rows.withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before"))))
     return clear.select(*out).unionByName(edge_rows.select(*out))
