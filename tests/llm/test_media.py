@@ -92,3 +92,14 @@ def test_hard_rows(hard, empty):
     assert media.describe_texts(empty).count() == 0
     stored = media.store_texts(hard).filter("doc_id = 6").first()
     assert bytes(stored.media[:4]) == b"RIFF"
+
+
+def test_reading_a_media_column(spark):
+    """Images of every part of the format, several in a value, come back from a binary column."""
+    cases = [[(p, webp.encode(p, **o)) for o in options(p.shape)] for p in images()]
+    rows = [(i, b"".join(f for _, f in case)) for i, case in enumerate(cases)] + [(None, None), (None, b"")]
+    got = media.read_media(spark.createDataFrame(rows, "doc_id long, media binary")).collect()
+    assert len(got) == len(rows) and all(not r.images for r in got if r.doc_id is None)
+    for r in got:
+        if r.doc_id is not None:
+            assert [(x.width, x.height, bytes(x.pixels)) for x in r.images] == [(p.shape[1], p.shape[0], p.tobytes()) for p, _ in cases[r.doc_id]]

@@ -22,6 +22,8 @@ from .common import map_texts
 
 WIDTH = 64
 IMAGE_BYTES = WIDTH * webp.MAX_SIDE
+#: Compressed bytes of media that are decoded at once.
+READ_BYTES = 64_000
 
 
 def payload_of(text: str | None) -> bytes:
@@ -66,6 +68,28 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return map_texts(docs.select(id_col, text_col), run, f"doc_id {id_type}, media binary")
 
 
+def read_media(docs: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
+    """Per row: doc_id, images, an array of (width, height, pixels) of the lossless WebP files in the media column, in order.
+
+    Pixels are four bytes each, blue, green, red and alpha, row by row. Null and empty media have no images; what is no
+    lossless WebP file is an error. A batch holds few compressed bytes, since they may decode to many.
+    """
+    id_type = docs.schema[id_col].dataType.simpleString()
+    images_type = pa.list_(pa.struct([("width", pa.int32()), ("height", pa.int32()), ("pixels", pa.binary())]))
+
+    def images(media: bytes | None) -> list[dict]:
+        found, at = [], 0
+        while at < len(media or b""):
+            pixels, at = webp.decode_at(media, at)
+            found.append({"width": pixels.shape[1], "height": pixels.shape[0], "pixels": pixels.astype("<u4").tobytes()})
+        return found
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([images(m) for m in batch.column(1).to_pylist()], images_type)], ["doc_id", "images"])
+
+    return map_texts(docs.select(id_col, media_col), run, f"doc_id {id_type}, images array<struct<width:int,height:int,pixels:binary>>", limit=READ_BYTES)
+
+
 def describe_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
 
