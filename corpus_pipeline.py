@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept,
 the next one starts, so that a lost executor costs a part of one stage. All stages but the last return the columns
 of `documents`; further columns of the input are carried along.
 
-1. language: documents that have no letter in their text cannot be told a language and go.
+1. language: documents that have no letter in their text cannot be told a language and go; where no
+   row has a known language, nothing is learned and all stay.
 2. exact dedup: of equal texts (A-Z as a-z) the row with the largest id stays.
 3. near dedup: of documents linked by five-word shingles at 0.8 or more, the smallest id of each group stays.
 4. mixing: sources come to their target weights; documents repeat for complete epochs, and the document at a source's

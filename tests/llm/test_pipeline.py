@@ -58,3 +58,8 @@ def test_mixing_meets_each_row_once(spark):
         total = sum(n * words[k] for k, n in found.items() if k[1] == source)
         assert int(p.target) <= total < p.target + max(words.values())
         assert all(p.epochs * n <= found[k] <= (p.epochs + 1) * n for k, n in given.items() if k[1] == source)
+
+
+def test_language_passes_all_rows_where_nothing_is_learned(spark):
+    docs = spark.createDataFrame([(1, "ein Satz", None, "a"), (2, "12", None, "a"), (None, None, None, None)], "doc_id long, text string, lang string, source string")
+    assert STAGES["language"](spark, docs, SF).count() == 3

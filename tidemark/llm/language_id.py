@@ -147,7 +147,9 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
 
 
 def filter_known(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, whose text is given a language."""
+    """The rows of docs, with all their columns, whose text is given a language; all rows where no language was learned."""
+    if not profiles.languages:
+        return docs
     at = docs.columns.index(text_col)
     shipped(docs.sparkSession)
 
