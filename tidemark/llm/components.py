@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def contract(edges: DataFrame) -> DataFrame | None:
@@ -20,18 +20,21 @@ def contract(edges: DataFrame) -> DataFrame | None:
     roots: DataFrame | None = None
     while not both.isEmpty():
         sides = both.union(both.select(F.col("b"), F.col("a"))).toDF("node", "other")
-        parents = written(sides.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("parent")), "parents")
+        hooked = written(sides.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("parent")), "hooked")
+        parents = hooked
         for _ in range(2):
             up = parents.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
             parents = parents.join(up, "parent").select("node", F.col("above").alias("parent"))
         parents = written(parents, "parents")
         if roots is None:
-            roots = parents.withColumnRenamed("parent", "root")
+            known, roots = None, written(parents.withColumnRenamed("parent", "root"), "roots")
         else:
             moved = parents.withColumnRenamed("node", "root")
-            roots = written(roots.join(moved, "root", "left").select("node", F.coalesce("parent", "root").alias("root")), "roots")
+            known, roots = roots, written(roots.join(moved, "root", "left").select("node", F.coalesce("parent", "root").alias("root")), "roots")
         left = parents.select(F.col("node").alias("a"), F.col("parent").alias("pa"))
         right = parents.select(F.col("node").alias("b"), F.col("parent").alias("pb"))
-        both = both.join(left, "a").join(right, "b").filter("pa <> pb")
+        last, both = both, both.join(left, "a").join(right, "b").filter("pa <> pb")
         both = written(both.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges")
+        discard(hooked, parents, known, last)
+    discard(both)
     return roots

@@ -7,6 +7,8 @@ import functools
 import numpy as np
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of text hashed at once; a single longer word stays whole.
+PIECE = 1 << 20
 
 
 def mix64(keys: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -47,15 +49,33 @@ def running(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return out
 
 
+def _cuts(space: np.ndarray) -> list[int]:
+    """Places that cut the bytes into pieces of about PIECE, always behind white space."""
+    cuts = [0]
+    while len(space) - cuts[-1] > PIECE:
+        at = cuts[-1] + PIECE
+        found = space[at:].argmax()
+        if not space[at + found]:
+            break
+        cuts.append(int(at + found + 1))
+    return [*cuts, len(space)]
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts (runs without white space, A-Z as a-z), and where each text's words begin."""
     data = [t.encode() for t in texts]
     numbers, space = _byte_tables()
     raw = np.frombuffer(b" ".join(data) + b" ", np.uint8)
-    starts, ends = runs(~space[raw])
-    sums = running(numbers[raw], starts, ends)
     begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, data), np.int64, len(data)) + 1)])
-    return mix64(sums[ends] - sums[starts]), np.searchsorted(starts, begin)
+    cuts = _cuts(space[raw])
+    hashes, places = [], []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):  # temporary arrays take some 60 bytes a byte
+        part = raw[a:b]
+        starts, ends = runs(~space[part])
+        sums = running(numbers[part], starts, ends)
+        hashes.append(mix64(sums[ends] - sums[starts]))
+        places.append(starts + a)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(places), begin)
 
 
 def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:

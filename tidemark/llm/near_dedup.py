@@ -4,34 +4,38 @@
    band keys of 128 MinHash samples (32 bands of 4: a pair at similarity 0.8 shares a band but for a chance of
    5e-8), and an odd sketch: each sample flips one of 512 bits, so the XOR of two sketches counts the samples in
    which two documents differ, which is precise where similarities are high.
-2. Equal fingerprints are one class; only its representative (smallest id) goes on.
-3. Buckets of a band with more than one representative propose links. A bucket does not list its pairs: first, every
-   member meets a few hubs, and the pair of the best sketch estimate is confirmed on the full sets; then, between
-   groups that are still apart, the best pair each; then, in large buckets, members outside the bucket's largest
-   group look for their nearest sketches in other groups, in numpy over blocks of bounded size, as often as that
-   finds links (four times at most); at last all pairs of a bucket that still lie in different groups. Inner pairs
-   of a group need no proof.
-4. A sketch only ever discards pairs whose estimate lies more than five standard errors below the threshold. All
+2. Equal fingerprints are one class; only its representative (smallest id) goes on, under a number of its own.
+3. Representatives that share a band key are a bucket's members. No step lists a bucket's pairs. First, every member
+   takes its text to the largest of its buckets, once; a task holds a block of a bucket, cut by bytes of sets, with a
+   few hubs that all blocks of the bucket share. Sketches screen the pairs there, full shingle sets confirm them, a
+   union-find skips pairs that are connected by then, and only spanning links leave the task: fewer than its members.
+4. Buckets that still hold several groups are gone through whole: every block of members outside a bucket's largest
+   group meets every block of its members, first with sketches alone, which names the members that keep a candidate,
+   then with the texts of those members, confirmed as above. A pair that shares several bands is looked at in the
+   first of them. Links inside one group need no proof.
+5. A sketch only ever discards pairs whose estimate lies more than five standard errors below the threshold. All
    others are confirmed by intersecting whole sets.
 
-Nothing about all documents reaches the driver; tables between steps are written to the shared folder.
+Nothing about all documents reaches the driver; tables between steps are written to the shared folder, and those that
+the result does not read are deleted.
 
-Defined results: null and empty texts, and texts of white space, have no shingles and stay alone; ids are
-meant to be unique, and rows that share an id but not a text may take each other's links; rows with a null id stay alone with a null component and are kept; texts
-with fewer words than a shingle have their whole sequence as the only shingle; an empty table gives an empty result;
-further columns are ignored. Texts are processed whole.
+Defined results: null and empty texts, and texts of white space, have no shingles and stay alone; ids are meant to be
+unique, but rows that share an id keep links of their own; rows with a null id stay alone with a null component and
+are kept; texts with fewer words than a shingle have their whole sequence as the only shingle; an empty table gives an
+empty result; further columns are ignored. Texts are processed whole.
 """
 
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, shipped, slices, written
+from .common import discard, map_texts, released, shipped, slices, written
 from .components import contract
 from .hashing import mix64, shingle_sets
 
@@ -40,11 +44,12 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 #: Standard errors that a sketch's estimate may lie below the threshold.
 SLACK = 5.0
-HUBS = 3
-#: Buckets up to this size list their pairs in a join; larger ones compare sketches in blocks of BLOCK members.
-SMALL, BLOCK = 24, 2048
-#: Nearest sketches that a member confirms in a round, and most such rounds; what they leave is compared in full.
-NEAREST, ROUNDS = 3, 4
+#: Bytes of shingle sets in a block that is confirmed, and members of a block whose sketches alone are compared.
+BLOCK_BYTES, BLOCK = 8 << 20, 16_384
+#: About so many members of a bucket of several blocks go to all of them, to link the blocks' groups.
+HUBS = 8
+#: Candidates of one member confirmed at a time, nearest first; doubles while they do not settle it.
+FIRST = 4
 
 
 @functools.cache
@@ -91,7 +96,7 @@ def most_bits(threshold: float) -> int:
 
 
 def sketch(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n, fp1, fp2, bands, odd (null for empty sets)."""
+    """Per row: id, text_hash, n, fp1, fp2, bands, odd (null for empty sets)."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -103,123 +108,215 @@ def sketch(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str =
             fp2.append(int(np.bitwise_xor.reduce(mix64(s, 602)).astype(np.int64)) if len(s) else 0)
             bands.append(None if samples is None else band_keys(samples))
             odd.append(None if samples is None else odd_sketch(samples))
-        columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(columns, ["id", "n", "fp1", "fp2", "bands", "odd"])
+        columns = [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, ["id", "text_hash", "n", "fp1", "fp2", "bands", "odd"])
 
-    return map_texts(docs.select(id_col, text_col), run, f"id {id_type}, n long, fp1 long, fp2 long, bands array<long>, odd array<long>")
+    rows = docs.select(id_col, text_col, F.xxhash64(text_col).alias("text_hash"))
+    return map_texts(rows, run, f"id {id_type}, text_hash long, n long, fp1 long, fp2 long, bands array<long>, odd array<long>")
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of pairs (a, b), those whose full shingle sets reach the similarity: 100 * intersection >= percent * union."""
-    id_type = pairs.schema["a"].dataType.simpleString()
-    shipped(pairs.sparkSession)
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "text_a", "b", "text_b")
+class Members:
+    """Members of one task's block: node, group, n, odd (uint64 words), and where needed bands, few and sets."""
 
-    def run(batches):
-        for batch in batches:
-            for part in (q for p in slices(batch, 1) for q in slices(p, 3)):
-                one, two = (shingle_sets([t or "" for t in part.column(i).to_pylist()], words) for i in (1, 3))
-                common = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(one, two, strict=True)], np.int64)
-                total = np.array([len(x) + len(y) for x, y in zip(one, two, strict=True)], np.int64)
-                linked = pa.array(100 * common >= percent * (total - common))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2)], ["a", "b"]).filter(linked)
+    def __init__(self, rows: pa.Table, sets: list[np.ndarray] | None = None, at: np.ndarray | None = None):
+        if at is not None:
+            rows, sets = rows.take(pa.array(at)), None if sets is None else [sets[i] for i in at]
+        words = lambda c, n: rows.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False).reshape(-1, n)
+        self.node, self.n = rows.column("node").to_numpy(), rows.column("n").to_numpy()
+        self.group = rows.column("g").to_numpy() if "g" in rows.column_names else self.node
+        self.odd = words("odd", SKETCH_BITS // 64).view(np.uint64)
+        self.bands = words("bands", BANDS) if "bands" in rows.column_names else None
+        self.few = rows.column("few").to_numpy() if "few" in rows.column_names else None
+        self.sets = sets
 
-    return joined.mapInArrow(run, f"a {id_type}, b {id_type}")
 
+def _candidates(one: Members, i: int, two: Members, at: np.ndarray, key: int | None, most: int, percent: int) -> np.ndarray:
+    """Of the members `at` of two, those that sizes and sketches leave possible for member i of one, nearest first.
 
-def _with_groups(pairs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs (a, b) in different groups, with ga and gb; an id that no group lists is its own."""
-    one, two = groups.select(F.col("node").alias("a"), F.col("root").alias("ga")), groups.select(F.col("node").alias("b"), F.col("root").alias("gb"))
-    pairs = pairs.join(one, "a", "left").join(two, "b", "left")
-    return pairs.withColumns({"ga": F.coalesce("ga", "a"), "gb": F.coalesce("gb", "b")}).filter("ga <> gb")
-
-
-def _screened(pairs: DataFrame, sketches: DataFrame, most: int, percent: int) -> DataFrame:
-    """Pairs that sketch and set sizes leave possible, with the number of differing bits."""
-    one = sketches.select(F.col("id").alias("a"), F.col("odd").alias("odd_a"), F.col("n").alias("n_a"))
-    two = sketches.select(F.col("id").alias("b"), F.col("odd").alias("odd_b"), F.col("n").alias("n_b"))
-    rows = pairs.join(one, "a").join(two, "b").filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    bits = sum((F.bit_count(F.col("odd_a")[k].bitwiseXOR(F.col("odd_b")[k])) for k in range(SKETCH_BITS // 64)), F.lit(0))
-    return rows.withColumn("bits", bits).filter(F.col("bits") <= most).drop("odd_a", "odd_b", "n_a", "n_b")
-
-
-def _merged(groups: DataFrame | None, edges: DataFrame) -> DataFrame | None:
-    """(node, root) after further links between nodes; the old groups stand in as links from node to root."""
-    if groups is not None:
-        edges = edges.select("a", "b").union(groups.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    return contract(edges)
-
-
-def _split(members: DataFrame, groups: DataFrame | None, sketches: DataFrame) -> DataFrame:
-    """Members of buckets that several groups share: key, size, id, n, odd, g, and few (not of the bucket's largest group)."""
+    With a key, a pair counts only in the first band that it shares, and a pair of two few members from one side only.
+    """
+    at = at[100 * np.minimum(one.n[i], two.n[at]) >= percent * np.maximum(one.n[i], two.n[at])]
+    bits = np.bitwise_count(one.odd[i] ^ two.odd[at]).sum(1, dtype=np.int64)
+    near = bits <= most
+    at, bits = at[near], bits[near]
+    if key is not None and len(at):
+        first = two.bands[at, (two.bands[at] == one.bands[i]).argmax(1)] == key
+        first &= ~two.few[at] | (one.node[i] < two.node[at])
+        at, bits = at[first], bits[first]
+    return at[np.argsort(bits, kind="stable")]
+
+
+def _spanning(one: Members, two: Members | None, key: int | None, most: int, percent: int) -> list[tuple[int, int]]:
+    """Confirmed links (group, smaller group) that connect what members of one and two (or of one alone) connect."""
+    two, alone = (one, True) if two is None else (two, False)
+    groups, label = np.unique(np.concatenate([one.group, two.group]), return_inverse=True)
+    mine, theirs = label[: len(one.node)], label[len(one.node) :]
+    root = np.arange(len(groups))
+    for i, own in enumerate(one.sets):
+        others = theirs[:i] if alone else theirs
+        at = np.flatnonzero(root[others] != root[mine[i]])
+        if not len(at):
+            continue
+        at, step = _candidates(one, i, two, at, key, most, percent), FIRST
+        while len(at):
+            now = at[:step]
+            lengths = np.fromiter((len(two.sets[j]) for j in now), np.int64, len(now))
+            theirs_all = np.concatenate([two.sets[j] for j in now])
+            hit = own[np.minimum(np.searchsorted(own, theirs_all), len(own) - 1)] == theirs_all
+            common = np.add.reduceat(hit, np.cumsum(lengths) - lengths, dtype=np.int64)
+            for j in now[100 * common >= percent * (len(own) + lengths - common)]:
+                x, y = sorted((root[mine[i]], root[theirs[j]]))
+                if x != y:
+                    root[root == y] = x
+            at = at[step:]
+            at, step = at[root[theirs[at]] != root[mine[i]]], 2 * step
+    moved = np.flatnonzero(root != np.arange(len(groups)))
+    return list(zip(groups[moved].tolist(), groups[root[moved]].tolist(), strict=True))
+
+
+def _by_block(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], prepare: Callable, work: Callable, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by `keys`: gathers each block's rows over batches and gives them to `work`, whose tuples are the result.
+
+    `prepare` turns a bounded batch into (table, list) pairs: the rows without text, and a list of one item a row or None.
+    """
+    parts: list[tuple[pa.Table, list | None]] = []
+    last = None
+
+    def block() -> list[tuple]:
+        rows = pa.concat_tables([t for t, _ in parts])
+        items = None if parts[0][1] is None else [x for _, xs in parts for x in xs]
+        return work(rows, items)
+
+    for batch in batches:
+        found: list[tuple] = []
+        for rows, items in prepare(batch):
+            columns = [rows.column(k).to_numpy() for k in keys]
+            change = np.zeros(rows.num_rows, bool)
+            for c in columns:
+                change[1:] |= c[1:] != c[:-1]
+            starts = [0, *np.flatnonzero(change).tolist(), rows.num_rows]
+            for a, b in zip(starts[:-1], starts[1:], strict=True):
+                if a == b:
+                    continue
+                now = tuple(c[a] for c in columns)
+                if parts and now != last:
+                    found += block()
+                    parts = []
+                last = now
+                parts.append((rows.slice(a, b - a), None if items is None else items[a:b]))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found, strict=True), schema, strict=True)], schema=schema)
+    if parts and (found := block()):
+        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found, strict=True), schema, strict=True)], schema=schema)
+    released()
+
+
+def _blocked(rows: DataFrame, keys: tuple[str, ...], work: Callable, names: tuple[str, str], words: int | None) -> DataFrame:
+    """Rows dealt and sorted by their block, each block given to `work`; texts come as sets of shingles of `words` words."""
+    shipped(rows.sparkSession)
+    schema = pa.schema([(n, pa.int64()) for n in names])
+
+    def prepare(batch: pa.RecordBatch) -> Iterator[tuple[pa.Table, list | None]]:
+        if words is None:
+            yield pa.Table.from_batches([batch]), None
+            return
+        at = batch.schema.get_field_index("text")
+        for part in slices(batch, at):
+            sets = shingle_sets([t or "" for t in part.column(at).to_pylist()], words)
+            yield pa.Table.from_batches([part]).drop_columns(["text"]), sets
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _by_block(batches, keys, prepare, work, schema)
+
+    dealt = rows.repartition(*map(F.col, keys)).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(run, f"{names[0]} long, {names[1]} long")
+
+
+def _blocks_of(size: Column, limit: int) -> Column:
+    return F.greatest(F.ceil(size / limit), F.lit(1)).cast("int")
+
+
+def _crossed(rows: DataFrame) -> DataFrame:
+    """Each few member (asks) with every block of its bucket's members, and each member with every block of few ones: x, y."""
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    roles = F.array(F.struct(F.lit(True).alias("asks")), F.struct(F.lit(False).alias("asks")))
+    rows = rows.withColumn("role", F.explode(F.when(F.col("few"), roles).otherwise(F.slice(roles, 2, 1))))
+    rows = rows.select("*", F.col("role.asks").alias("asks"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    x, y = F.when(F.col("asks"), F.col("own")).otherwise(F.col("other")), F.when(F.col("asks"), F.col("other")).otherwise(F.col("own"))
+    return rows.withColumns({"x": x, "y": y}).drop("role", "own", "other", "blocks")
+
+
+def _with_texts(rows: DataFrame, own: DataFrame) -> DataFrame:
+    """Rows of (id, text_hash, ...) with their texts; equal rows of the input come once."""
+    texts = own.select("id", F.xxhash64("text").alias("text_hash"), "text")
+    return rows.join(texts, ["id", "text_hash"]).dropDuplicates(["id", "text_hash", "node"] + (["key"] if "few" in rows.columns else [])).drop("id", "text_hash")
+
+
+def first_links(members: DataFrame, classes: DataFrame, own: DataFrame, words: int, percent: int, most: int) -> DataFrame:
+    """Links found when each member goes to the largest of its buckets only; (a, b), nodes."""
+    order = F.col("size") * (1 << 32) + F.pmod(F.col("key"), F.lit(1 << 32))
+    best = members.groupBy("node").agg(F.max_by("key", order).alias("key"))
+    placed = written(classes.select("node", "id", "text_hash", "n", "odd").join(best, "node"), "placed")
+    bins = placed.groupBy("key").agg(F.count("*").alias("size"), F.sum(F.col("n") * 8).alias("bytes")).filter("size > 1")
+    rows = placed.join(bins, "key").withColumn("blocks", _blocks_of(F.col("bytes"), BLOCK_BYTES))
+    hub = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("node", F.lit("hub")), F.col("size")) < HUBS)
+    mine = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("at", F.when(hub, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(mine)).drop("size", "bytes", "blocks")
+    rows = _with_texts(rows, own).withColumn("block", F.explode("at")).drop("at")
+
+    def work(rows: pa.Table, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        return _spanning(Members(rows, sets), None, None, most, percent) if rows.num_rows > 1 else []
+
+    links = written(_blocked(rows, ("key", "block"), work, ("a", "b"), words), "links")
+    discard(placed)
+    return links
+
+
+def _split(members: DataFrame, groups: DataFrame | None, classes: DataFrame) -> DataFrame:
+    """Members of buckets that several groups share: key, size, node, g, few (not of the bucket's largest group), and their class."""
     if groups is None:
-        placed = members.select("key", "size", "id", F.col("id").alias("g"))
+        placed = members.select("key", "size", "node", F.col("node").alias("g"))
     else:
-        placed = members.join(groups.withColumnRenamed("node", "id"), "id", "left").select("key", "size", "id", F.coalesce("root", "id").alias("g"))
+        placed = members.join(groups, "node", "left").select("key", "size", "node", F.coalesce("root", "node").alias("g"))
     placed = written(placed, "placed")
     sizes = placed.groupBy("key", "g").count()
     mixed = sizes.groupBy("key").agg(F.max(F.struct("count", "g")).alias("top"), F.count("*").alias("groups")).filter("groups > 1").select("key", F.col("top.g").alias("main"))
     split = placed.join(mixed, "key").withColumn("few", F.col("g") != F.col("main")).drop("main")
-    return written(split.join(sketches, "id"), "split")
+    out = written(split.join(classes.select("node", "id", "text_hash", "n", "odd", "bands"), "node"), "split")
+    discard(placed)
+    return out
 
 
-def _listed(split: DataFrame) -> DataFrame:
-    """Pairs in different groups of small buckets, by a join."""
-    rows = split.filter(F.col("size") <= SMALL)
-    few = rows.filter("few").select("key", F.col("id").alias("a"), F.col("g").alias("ga"))
-    rest = rows.select("key", F.col("id").alias("b"), F.col("g").alias("gb"), F.col("few").alias("few_b"))
-    pairs = few.join(rest, "key").filter("ga <> gb AND (NOT few_b OR a < b)")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def last_links(split: DataFrame, own: DataFrame, words: int, percent: int, most: int) -> DataFrame:
+    """Links (a, b) between groups that buckets still hold apart: all their pairs, screened and then confirmed."""
+    keys = ("key", "x", "y")
 
+    def sides(rows: pa.Table, sets: list[np.ndarray] | None) -> tuple[Members, Members, int]:
+        asks = rows.column("asks").to_numpy()
+        return Members(rows, sets, np.flatnonzero(asks)), Members(rows, sets, np.flatnonzero(~asks)), rows.column("key")[0].as_py()
 
-def _blocks(split: DataFrame, most: int, percent: int, nearest: int | None) -> DataFrame:
-    """Pairs (a, b) of large buckets in different groups whose sketches and sizes leave them possible, with bits.
+    def screen(rows: pa.Table, _: None) -> list[tuple[int, int]]:
+        one, two, key = sides(rows, None)
+        kept: set[int] = set()
+        for i in range(len(one.node)):
+            at = _candidates(one, i, two, np.flatnonzero(two.group != one.group[i]), key, most, percent)
+            if len(at):
+                kept.add(int(one.node[i]))
+                kept.update(two.node[at].tolist())
+        return [(key, x) for x in sorted(kept)]
 
-    A pair that shares several bands is told in the first of them only (if that bucket is small, by _listed). Every block of few members meets every block of all members of its bucket in one task of bounded size. With
-    `nearest`, each few member keeps only so many per block. The smaller id is a.
-    """
-    shipped(split.sparkSession)
-    id_type = split.schema["id"].dataType.simpleString()
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    rows = split.filter(F.col("size") > SMALL).withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
-    asking = rows.filter("few").select("key", F.col("own").alias("x"), F.col("other").alias("y"), "id", "g", "n", "odd", "bands", F.lit(True).alias("asks"), "few")
-    asked = rows.select("key", F.col("other").alias("x"), F.col("own").alias("y"), "id", "g", "n", "odd", "bands", F.lit(False).alias("asks"), "few")
-
-    def compare(group: pa.Table) -> pa.Table:
-        asks = group.column("asks").to_numpy()
-        one, two = group.filter(pa.array(asks)), group.filter(pa.array(~asks))
-        numbers = lambda t, c, n: np.array(t.column(c).combine_chunks().flatten(), np.int64).reshape(-1, n)
-        odd = [numbers(t, "odd", SKETCH_BITS // 64).view(np.uint64) for t in (one, two)]
-        bands = [numbers(t, "bands", BANDS) for t in (one, two)]
-        key = group.column("key")[0].as_py()
-        (id1, g1, n1), (id2, g2, n2) = ([t.column(c).to_numpy() for c in ("id", "g", "n")] for t in (one, two))
-        few2 = two.column("few").to_numpy()
-        found = []
-        for i in range(len(id1)):
-            bits = np.bitwise_count(odd[0][i] ^ odd[1]).sum(1, dtype=np.int64)
-            fits = (g2 != g1[i]) & (bits <= most) & (100 * np.minimum(n1[i], n2) >= percent * np.maximum(n1[i], n2))
-            if nearest is None:
-                fits &= ~few2 | (id1[i] < id2)  # a pair of two few members is found from either side
-            at = np.flatnonzero(fits)
-            shared = bands[1][at] == bands[0][i]
-            at = at[bands[1][at, shared.argmax(1)] == key]
-            if nearest is not None:
-                at = at[np.argsort(bits[at], kind="stable")[:nearest]]
-            found.append((np.full(len(at), id1[i]), id2[at], bits[at]))
-        a, b, bits = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found, strict=True) if found else ([], [], [])))
-        return pa.table({"asker": pa.array(a, group.schema.field("id").type), "a": pa.array(np.minimum(a, b), group.schema.field("id").type), "b": pa.array(np.maximum(a, b), group.schema.field("id").type), "bits": pa.array(bits, pa.int64())})
-
-    return asking.unionByName(asked).groupBy("key", "x", "y").applyInArrow(compare, f"asker {id_type}, a {id_type}, b {id_type}, bits long")
-
-
-def _nearest(split: DataFrame, tested: DataFrame, most: int, percent: int) -> DataFrame:
-    """For each member of large buckets outside their main group, the NEAREST untested members of other groups."""
-    close = _blocks(split, most, percent, 2 * NEAREST).join(tested, ["a", "b"], "left_anti")
-    close = close.groupBy("asker").agg(F.slice(F.array_sort(F.collect_set(F.struct("bits", "a", "b"))), 1, NEAREST).alias("best"))
-    return written(close.select(F.explode("best").alias("p")).select("p.a", "p.b").distinct(), "nearest")
+    def confirm(rows: pa.Table, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        one, two, key = sides(rows, sets)
+        return _spanning(one, two, key, most, percent) if len(one.node) and len(two.node) else []
+
+    alike = _crossed(split.select("key", "node", "g", "few", "n", "odd", "bands", _blocks_of(F.col("size"), BLOCK).alias("blocks")))
+    kept = written(_blocked(alike, keys, screen, ("key", "node"), None).distinct(), "kept")
+    rows = split.drop("size").join(kept, ["key", "node"])
+    blocks = rows.groupBy("key").agg(F.sum(F.col("n") * 8).alias("bytes")).select("key", _blocks_of(F.col("bytes"), BLOCK_BYTES).alias("blocks"))
+    rows = written(rows.join(blocks, "key"), "rows")
+    links = written(_blocked(_crossed(_with_texts(rows, own)), keys, confirm, ("a", "b"), words), "links")
+    discard(kept, rows)
+    return links
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -228,46 +325,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = written(sketch(own, words, "id"), "sketches")
     some = rows.filter("id IS NOT NULL AND n > 0")
-    # Classes of equal sets; the smallest id carries its class's bands and sketch on.
-    classes = some.groupBy("fp1", "fp2", "n").agg(F.min(F.struct("id", "bands", "odd")).alias("top"))
-    classes = written(classes.select("fp1", "fp2", "n", "top.*"), "classes")
-    # Buckets: members of band keys that several representatives share, with a few hubs each.
-    keys = classes.select("id", F.explode("bands").alias("key"))
-    hubs = [F.min("id"), F.max("id"), *(F.min_by("id", F.xxhash64("id", F.lit(k))) for k in range(HUBS - 2))]
-    shared = keys.groupBy("key").agg(F.count("*").alias("size"), F.array_distinct(F.array(*hubs)).alias("hubs")).filter("size > 1")
-    members = written(keys.join(shared.select("key", "size", "hubs"), "key"), "members")
-    ids = members.select("id").distinct()
-    sketches = classes.select("id", "n", "odd", "bands")
-    texts = written(own.join(ids, "id", "left_semi"), "texts")
-    # Every member and the hub that its sketch likes best.
-    to_hub = members.select(F.col("id").alias("a"), F.explode("hubs").alias("b")).filter("a <> b").distinct()
-    to_hub = written(_screened(to_hub, sketches, most, percent), "hubs")
-    best = to_hub.groupBy("a").agg(F.min_by("b", F.struct("bits", "b")).alias("b"))
-    tested = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    groups = _merged(None, written(confirm(best, texts, words, percent), "links"))
-    if groups is not None:
-        # Between groups that are still apart, the best pair of each two.
-        apart = _with_groups(to_hub, groups).join(best, ["a", "b"], "left_anti")
-        best = apart.groupBy(F.least("ga", "gb"), F.greatest("ga", "gb")).agg(F.min(F.struct("bits", "a", "b")).alias("pair")).select("pair.a", "pair.b")
-        groups = _merged(groups, written(confirm(best, texts, words, percent), "links"))
-        tested = tested.union(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    tested = written(tested.distinct(), "tested")
-    for _ in range(ROUNDS):
-        pairs = _nearest(_split(members, groups, sketches), tested, most, percent)
-        links = written(confirm(pairs, texts, words, percent), "links")
-        tested = tested.union(pairs)
-        if links.isEmpty():
-            break
-        groups = _merged(groups, links)
-    # What is left: all pairs of a bucket that are in different groups.
-    split = _split(members, groups, sketches)
-    small = _screened(_listed(split), sketches, most, percent).select("a", "b")
-    large = _blocks(split, most, percent, None).select("a", "b")
-    pairs = written(small.union(large).distinct().join(tested, ["a", "b"], "left_anti"), "rest")
-    groups = _merged(groups, written(confirm(pairs, texts, words, percent), "links"))
-    of_class = some.join(classes.select("fp1", "fp2", "n", F.col("id").alias("rep")), ["fp1", "fp2", "n"]).select("id", "fp1", "fp2", "n", "rep")
-    result = of_class if groups is None else of_class.join(groups.select(F.col("node").alias("rep"), "root"), "rep", "left")
-    found = F.col("rep") if groups is None else F.coalesce("root", "rep")
-    linked = result.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), found.alias("component_id"))
+    # Classes of equal sets; the smallest id carries its class's bands and sketch on, under a number of its own.
+    classes = some.groupBy("fp1", "fp2", "n").agg(F.min(F.struct("id", "text_hash", "bands", "odd")).alias("top"))
+    classes = written(classes.select("fp1", "fp2", "n", "top.*").withColumn("node", F.monotonically_increasing_id()), "classes")
+    keys = classes.select("node", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    members = written(keys.join(shared, "key"), "members")
+    links = first_links(members, classes, own, words, percent, most)
+    groups = contract(links)
+    split = _split(members, groups, classes)
+    more = last_links(split, own, words, percent, most)
+    wider = contract(more)
+    # Groups of nodes, and the smallest id of each; a node that no link reaches is its own group.
+    roots = classes.select("fp1", "fp2", "n", "id", F.col("node").alias("root"))
+    for found in (groups, wider):
+        if found is not None:
+            up = found.select(F.col("node").alias("root"), F.col("root").alias("above"))
+            roots = roots.join(up, "root", "left").withColumn("root", F.coalesce("above", "root")).drop("above")
+    roots = written(roots, "roots")
+    smallest = roots.groupBy("root").agg(F.min("id").alias("component_id"), F.count("*").alias("classes")).filter("classes > 1").drop("classes")
+    found = written(roots.join(smallest, "root", "left").select("fp1", "fp2", "n", F.coalesce("component_id", "id").alias("component_id")), "components")
+    discard(members, links, split, more, groups, wider, roots, classes)
+    linked = some.join(found, ["fp1", "fp2", "n"]).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
     alone = rows.filter("id IS NULL OR n = 0").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
