@@ -23,17 +23,23 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import language_id
 from tidemark.llm.common import crc_mod, lower_ascii, written
-from tidemark.llm.exact_dedup import BROADCAST_KEYS, exact_dedup
+from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.mixing import mix
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.pieces import encode_decode
 from tidemark.llm.queries import tokenizer_file
 
 
+#: Bytes of keys that may be broadcast (each counts its text and 32 more); beyond that the same join is a shuffle.
+BROADCAST_BYTES = 64 << 20
+
+
 def _without(docs: DataFrame, dropped: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of docs whose keys are not among dropped (nulls are equal); broadcast only where the counted keys are few."""
+    """Rows of docs whose keys are not among dropped (nulls are equal); broadcast only where their counted bytes are few."""
     dropped = written(dropped.select(*[F.col(k).alias(f"_dropped_{k}") for k in keys]).distinct(), "dropped")
-    few = F.broadcast(dropped) if dropped.count() <= BROADCAST_KEYS else dropped
+    texts = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 32 for c in dropped.columns), F.lit(0))
+    size = dropped.agg(F.sum(texts.cast("long"))).first()[0] or 0
+    few = F.broadcast(dropped) if size <= BROADCAST_BYTES else dropped
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_dropped_{k}"))
