@@ -22,12 +22,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, map_texts, shipped, slices
+from .common import crc_mod, map_texts, released, shipped, slices
 
 DIMENSION = 512
 #: Letter classes: 0 for everything but letters, 1 to 26 for a to z, the others by code point.
 CLASSES = 96
 PER_LANGUAGE = 4_000
+#: Kinds of trigrams whose vectors are bound at once.
+KINDS = 8_192
 UNKNOWN = "und"
 
 
@@ -70,14 +72,23 @@ def document_vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     first, second, third = _vectors()
     out = np.zeros((len(texts), DIMENSION), np.float32)
     if len(kinds):
-        bound = first[kinds // CLASSES**2] * second[kinds // CLASSES % CLASSES] * third[kinds % CLASSES]
-        step = max(1, 4_000_000 // len(kinds))
-        order = np.searchsorted(owner, np.arange(0, len(texts) + step, step))
-        for k, a in enumerate(range(0, len(texts), step)):
-            own = slice(order[k], order[k + 1])
-            n = min(step, len(texts) - a)
-            counts = np.bincount((owner[own] - a) * len(kinds) + place[grams[own]], minlength=n * len(kinds)).reshape(n, -1)
-            out[a : a + n] = counts.astype(np.float32) @ bound
+        # Kinds of trigrams in chunks, texts in steps: bound vectors and counts take a few MB however many scripts there are.
+        for c in range(0, len(kinds), KINDS):
+            some_kinds = kinds[c : c + KINDS]
+            bound = first[some_kinds // CLASSES**2] * second[some_kinds // CLASSES % CLASSES] * third[some_kinds % CLASSES]
+            if len(kinds) <= KINDS:
+                own_grams, own_owner = place[grams], owner
+            else:
+                at = place[grams] - c
+                inside = (at >= 0) & (at < len(some_kinds))
+                own_grams, own_owner = at[inside], owner[inside]
+            step = max(1, 1_000_000 // len(some_kinds))
+            order = np.searchsorted(own_owner, np.arange(0, len(texts) + step, step))
+            for k, a in enumerate(range(0, len(texts), step)):
+                own = slice(order[k], order[k + 1])
+                n = min(step, len(texts) - a)
+                counts = np.bincount((own_owner[own] - a) * len(some_kinds) + own_grams[own], minlength=n * len(some_kinds)).reshape(n, -1)
+                out[a : a + n] += counts.astype(np.float32) @ bound
     return out, some
 
 
@@ -123,6 +134,7 @@ def learn_profiles(docs: DataFrame, training: Column, per_language: int = PER_LA
                 for lang, v, s in zip(part.column(0).to_pylist(), unit(vectors), some, strict=True):
                     if s:
                         sums[lang] = sums.get(lang, 0) + v.astype(np.float64)
+        released()
         if sums:
             yield pa.RecordBatch.from_pydict({"lang": list(sums), "v": [x.tolist() for x in sums.values()]}, pa.schema([("lang", pa.string()), ("v", pa.list_(pa.float64()))]))
 
@@ -158,6 +170,7 @@ def filter_known(docs: DataFrame, profiles: Profiles, text_col: str = "text") ->
             for part in slices(batch, at):
                 lang, _ = profiles.predict([t or "" for t in part.column(at).to_pylist()])
                 yield part.filter(pa.array([x != UNKNOWN for x in lang], pa.bool_()))
+        released()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -20,13 +20,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Characters that lower a document's quality weight.
 NOISE = "0123456789#$%&*!|<>{}[]\\^~@=_+"
 WEIGHTS = (5, 2, 1)
 CAP = 3
+#: Products of words and weights of all sources may pass 64 bits.
+WIDE = "decimal(28,0)"
 
 
 def size_of(text: Column) -> Column:
@@ -45,10 +47,11 @@ def uniform(doc_id: Column, salt: str = "mix") -> Column:
     return (bits + 0.5) / float(1 << 52)
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
-    """(doc_id, source, size, key, bucket) of every row, and its row number where there is one; smaller keys are chosen first."""
-    number = [F.col(row_col).alias("row")] if row_col else []
-    rows = docs.select(*number, F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"), quality_weight(F.col(text_col)).alias("quality"))
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: bool = False) -> DataFrame:
+    """(doc_id, source, size, key, bucket) of every row; smaller keys are chosen first. With carry, also the row itself
+    (row, a struct) and a hash of its text (tie), which orders rows of one id."""
+    own = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(text_col).alias("tie")] if carry else []
+    rows = docs.select(*own, F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"), quality_weight(F.col(text_col)).alias("quality"))
     rows = rows.withColumn("key", -F.log(uniform(F.col("doc_id"))) / F.col("quality")).drop("quality")
     body, tail = F.floor((1 - F.exp(-F.col("key"))) * 65536), 65536 + F.floor((F.col("key") - 8) * 512)
     return rows.withColumn("bucket", F.when(F.col("key") < 8, body).otherwise(tail).cast("long"))
@@ -69,7 +72,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     before = filling.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("left", F.col("total") - F.coalesce(F.sum("most").over(before), F.lit(0)))
     rows = rows.withColumn("open", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-    rows = rows.withColumn("full", F.col("left") * F.col("weight") >= F.col("most") * F.col("open"))
+    rows = rows.withColumn("full", F.col("left").cast(WIDE) * F.col("weight") >= F.col("most").cast(WIDE) * F.col("open"))
     # The level is set by the first source in this order that is not saturated.
     first = F.min(F.when(~F.col("full"), F.struct(F.col("most") / F.col("weight"), F.col("source").isNull(), F.col("source"), F.col("left"), F.col("open")))).over(everything)
     level = F.col("weight") * first["left"] / first["open"]
@@ -83,13 +86,13 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     )
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, share: float = 1.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, share: float = 1.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: bool = False) -> DataFrame:
     """Per row: doc_id, size, source_size, target, taken (words, repeats counted), epochs, part (words of the last pass).
 
-    With `row_col`, a column that numbers the rows, each row comes with its number (row), which also breaks ties of ids.
+    With `carry`, each row comes with itself (row, a struct of its columns): its words and key are then computed a second
+    time where it is read, so that no text is shuffled but those of the buckets that hold a source's boundary.
     """
-    rows = written(keyed(docs, id_col, text_col, source_col, row_col), "keys")
-    number = ["row"] if row_col else []
+    rows = written(keyed(docs, id_col, text_col, source_col), "keys")
     histogram = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     plan = written(targets(histogram.groupBy("source").agg(F.sum("words").alias("source_size")), weights, cap, share), "plan")
     # The bucket in which a source's running total passes its rest, and the total before that bucket.
@@ -97,13 +100,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, sha
     sums = histogram.withColumn("prior", F.coalesce(F.sum("words").over(running), F.lit(0)))
     edge = sums.alias("s").join(plan.alias("p"), F.expr("s.source <=> p.source AND s.prior <= p.rest AND p.rest < s.prior + s.words"))
     edge = edge.groupBy(F.col("s.source").alias("source")).agg(F.min(F.struct("bucket", "prior")).alias("edge"))
-    plan = written(plan.join(edge, plan["source"].eqNullSafe(edge["source"]), "left").select(plan["*"], "edge.bucket", "edge.prior"), "edges").alias("p")
-    planned = rows.alias("r").join(plan, F.expr("r.source <=> p.source")).select(
-        *[f"r.{c}" for c in number], "r.doc_id", "r.size", "r.key", "r.source", "p.source_size", "p.target", "p.epochs", "p.rest", "p.prior", F.col("r.bucket").alias("own"), F.col("p.bucket").alias("edge")
+    edges = written(plan.join(edge, plan["source"].eqNullSafe(edge["source"]), "left").select(plan["*"], "edge.bucket", "edge.prior"), "edges")
+    discard(plan)
+    if carry:
+        discard(rows)
+        rows = keyed(docs, id_col, text_col, source_col, True)
+    own = ["row", "tie"] if carry else []
+    planned = rows.alias("r").join(edges.alias("p"), F.expr("r.source <=> p.source")).select(
+        *[f"r.{c}" for c in own], "r.doc_id", "r.size", "r.key", "r.source", "p.source_size", "p.target", "p.epochs", "p.rest", "p.prior", F.col("r.bucket").alias("own"), F.col("p.bucket").alias("edge")
     )
-    out = [*number, "doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs") + F.col("part")).alias("taken"), "epochs", "part"]
+    out = [*own[:1], "doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs") + F.col("part")).alias("taken"), "epochs", "part"]
     clear = planned.filter("NOT (own <=> edge)").withColumn("part", F.when(F.col("own") < F.coalesce("edge", F.lit(-1)), F.col("size")).otherwise(F.lit(0)))
-    close = Window.partitionBy("source").orderBy("key", F.col("doc_id").asc_nulls_last(), *number).rowsBetween(Window.unboundedPreceding, -1)
+    close = Window.partitionBy("source").orderBy("key", F.col("doc_id").asc_nulls_last(), *own[1:]).rowsBetween(Window.unboundedPreceding, -1)
     edge_rows = planned.filter("own <=> edge").withColumn("before", F.col("prior") + F.coalesce(F.sum("size").over(close), F.lit(0)))
     edge_rows = edge_rows.withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before"))))
     return clear.select(*out).unionByName(edge_rows.select(*out))

@@ -27,7 +27,7 @@ from sentencepiece import sentencepiece_model_pb2 as model_pb
 from .common import map_texts
 
 #: Stretches that a worker remembers before it starts afresh.
-STRETCHES = 1_000_000
+STRETCHES = 250_000
 MARK = "▁"
 
 
