@@ -67,12 +67,10 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # Rows are numbered once, in what is read back, so that each meets its own row of the plan whatever its id.
-    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    copies = (F.col("epochs") + (F.col("part") > 0).cast("long")).alias("_copies")
-    plan = mix(numbered, row_col="_row").filter("taken > 0").select(F.col("row").alias("_planned"), copies)
-    rows = numbered.join(written(plan, "mix"), F.col("_row") == F.col("_planned"))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    # Each row takes its own place in the plan along, whatever its id.
+    copies = F.col("epochs") + (F.col("part") > 0).cast("long")
+    rows = mix(docs, carry=True).filter("taken > 0").select("row", F.explode(F.sequence(F.lit(1), copies)))
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
