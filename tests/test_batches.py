@@ -1,12 +1,13 @@
+import hashlib
 import json
 from datetime import datetime
 
 import pytest
 
-from tidemark.plans import batches
+from tidemark.plans import batches, entities, kpis
 from tidemark.sources import readers, sinks
 from tidemark.sources.store import Store
-from tidemark.streaming.arrivals import watch
+from tidemark.streaming.arrivals import DEAD, redrive, watch
 
 CUSTOMERS = "customer_id,customer_name,email,phone,account_id,gender,dob,address,kyc_status,registration_date,transaction_id\n"
 BRANCHES = "branch_id,branch_name,location,manager_name,opened_date,region,branch_type,contact_number\n"
@@ -68,6 +69,10 @@ def test_two_batches(spark, drops, tmp_path):
     assert facts["T51"].customer_sk == max(r.customer_sk for r in dim if r.customer_id == "C1")
     out = batches.indicators(spark, root, "2026-10-06", "2026-10-02", "day1-baseline", "day2-incremental")
     got = {k: v.collect() for k, v in out.items()}
+    assert store.read_json("control/audit/day1-baseline.json")["clean_amount_inr"] == sum(range(1000, 1012))
+    assert set(kpis.ORDERS) == set(out) and [r.rnk for r in got["kpi01"]] == [1, 2, 3, 4, 5][: len(got["kpi01"])]
+    times = [r.txn_ts for r in got["kpi05"]]
+    assert times == sorted(times) and [r.batch_id for r in got["kpi10"]] == sorted(r.batch_id for r in got["kpi10"])
     changes = {r.batch_id: r for r in got["kpi11"]}["day2-incremental"]
     assert (changes.new_txns, changes.updated_txns, changes.corrected_txns, changes.customers_new, changes.customers_changed, changes.products_changed, changes.branches_changed) == (2, 1, 1, 1, 1, 1, 0)
     assert sum(r.revenue for r in got["kpi03"]) == sum(r.monetary for r in got["kpi06"]) == sum(r.net_volume for r in got["kpi07"]) == changes.kpi07_network_net
@@ -86,24 +91,104 @@ def test_a_closed_gate_changes_nothing(spark, drops, tmp_path):
     with pytest.raises(batches.GateError):
         batches.run(spark, root, batch("b1", one, reject_limit=0.05))
     store = Store(spark, root)
-    assert store.read_json("control/b1.json")["status"] == "FAILED" and store.read_json(batches.POINTER) is None
+    assert batches.status(store, "b1")["status"] == "FAILED" and store.latest(batches.POINTER) == (0, None)
     assert batches.run(spark, root, batch("b1", one)) == "LOADED"
-    before = store.read_json(batches.POINTER)
+    before = store.latest(batches.POINTER)
     with pytest.raises(batches.GateError):
         batches.run(spark, root, batch("b2", two, load_type="incremental"))  # no cutoff
-    assert store.read_json(batches.POINTER) == before
+    assert store.latest(batches.POINTER) == before
 
 
-def test_lock_and_readers(spark, tmp_path):
+class Killed(BaseException):
+    """What ends a run without letting it say anything."""
+
+
+@pytest.mark.parametrize("where", ["copy_in", "_load", "append", "write_json"])
+def test_a_killed_batch_may_come_again(spark, drops, tmp_path, monkeypatch, where):
+    """Killed after RECEIVED, while PROCESSING, before its tables are published, and after that but before LOADED."""
+    root, (one, _) = str(tmp_path / "lake"), drops
+    store = Store(spark, root)
+
+    def kill(*a, **k):
+        raise Killed
+
+    with monkeypatch.context() as m:
+        if where in ("copy_in", "_load"):
+            m.setattr(batches, where, kill)
+        elif where == "append":
+            append = Store.append
+            m.setattr(Store, where, lambda self, log, after, value: kill() if log == batches.POINTER else append(self, log, after, value))
+        else:
+            write = Store.write_json
+            m.setattr(Store, where, lambda self, name, value: kill() if "audit" in name else write(self, name, value))
+        m.setattr(batches.Lock, "say", (lambda say: lambda self, **v: say(self, **v) if v["status"] != "FREE" else None)(batches.Lock.say))
+        with pytest.raises(Killed):
+            batches.run(spark, root, batch("b1", one))
+    assert batches.status(store, "b1")["status"] in batches.RUNNING
+    with pytest.raises(batches.BusyError):  # its lease has not ended
+        batches.run(spark, root, batch("b1", one))
+    assert batches.run(spark, root, batch("b1", one), take_over=True) == "LOADED"
+    assert batches.gold(store, "fact_transaction").count() == 12 and batches.status(store, "b1")["status"] == "LOADED"
+    assert batches.run(spark, root, batch("b1", one)) == "SKIPPED"
+
+
+def test_two_batches_at_once(spark, drops, tmp_path, monkeypatch):
+    """The second is turned away while the first holds the lock; a writer that lost its lock cannot publish over another."""
+    root, (one, two) = str(tmp_path / "lake"), drops
+    assert batches.run(spark, root, batch("b1", one)) == "LOADED"
+    store, load = Store(spark, root), batches._load
+    second = batch("b2", two, load_type="incremental", cutoff=datetime(2026, 10, 2))
+    third = batch("b3", two, load_type="incremental", cutoff=datetime(2026, 10, 3))
+    seen = []
+
+    def slow(s, b, *a):
+        if b.batch_id == "b2" and not seen:
+            with pytest.raises(batches.BusyError):
+                batches.run(spark, root, third)
+            seen.append(batches.run(spark, root, third, take_over=True))
+        return load(s, b, *a)
+
+    monkeypatch.setattr(batches, "_load", slow)
+    with pytest.raises(batches.BusyError):
+        batches.run(spark, root, second)
+    assert seen == ["LOADED"] and store.latest(batches.POINTER)[1]["batches"] == ["b1", "b3"] and batches.status(store, "b2")["status"] == "FAILED"
+    assert batches.run(spark, root, second) == "LOADED" and batches.gold(store, "fact_transaction").count() == 14
+
+
+def test_logs(spark, tmp_path):
     store = Store(spark, str(tmp_path))
-    assert store.create("a/x.json", {"n": 1}) and not store.create("a/x.json", {"n": 2})
-    store.replace_json("a/x.json", {"n": 3})
-    assert store.read_json("a/x.json") == {"n": 3} and store.read_json("a/y.json") is None
+    assert store.create("a/x.json", {"n": 1}) and not store.create("a/x.json", {"n": 2}) and store.read_json("a/y.json") is None
+    assert store.latest("log") == (0, None) and store.append("log", 0, {"n": 1}) and not store.append("log", 0, {"n": 2}) and store.append("log", 1, {"n": 3})
+    (tmp_path / "log" / "000000000003.json").write_text('{"n":')  # its writer died
+    assert store.latest("log") == (3, {"n": 3}) and store.append("log", 3, {"n": 4}) and store.latest("log") == (4, {"n": 4})
+    (tmp_path / "raw").write_bytes(b"abc" * 100_000)
+    assert store.copy(f"{tmp_path}/raw", "copied") == store.checksum("copied") == (300_000, hashlib.sha256(b"abc" * 100_000).hexdigest())
+
+
+def test_readers(spark, tmp_path):
     (tmp_path / "p.json").write_text("no json")
     rows, repaired = readers.json_array(spark, f"{tmp_path}/p.json", ["a"])
     assert rows.count() == 0 and not repaired.first().repaired
-    (tmp_path / "c.csv").write_text("a,b\n1,\n\"x, y\"\n")
-    assert [(r.a, r.b, r._src_row) for r in readers.csv_text(spark, f"{tmp_path}/c.csv", ["a", "b"]).collect()] == [("1", "", 2), ("x, y", "", 3)]
+    (tmp_path / "q.json").write_text('[{"a": 1}\n{"a": true}\n{"a": "1"}, {"a": null}, {}, {"a": 1.5}, {"a": [1]}]')
+    rows, repaired = readers.json_array(spark, f"{tmp_path}/q.json", ["a"], ("a",))
+    assert [(r.a, r.a_kind) for r in rows.orderBy("_src_row").collect()] == [("1", "number"), ("true", "boolean"), ("1", "string"), (None, "null"), (None, None), ("1.5", "number"), ("[1]", "other")] and repaired.first().repaired
+    (tmp_path / "c.csv").write_text('b,a,c\n1,,x\n"x, ""y""","line one\nline two",\n"",2\n')
+    got = readers.csv_text(spark, f"{tmp_path}/c.csv", ["a", "b"]).collect()
+    assert [(r.a, r.b, r._src_row) for r in got] == [("", "1", 2), ("line one\nline two", 'x, "y"', 3), ("2", "", 4)] and json.loads(got[0]._raw) == {"a": "", "b": "1", "c": "x"}
+    many = readers.with_positions(spark.range(0, 1000, 1, 7).withColumnRenamed("id", "n"), 5)
+    assert many.filter("_src_row <> n + 5").count() == 0 and many.count() == 1000
+
+
+def test_products_of_a_file_keep_their_kinds(spark, tmp_path):
+    """Numbers are no booleans, and launch dates may not lie in the future."""
+    given = ["1", "true", '"1"', "null", '"no"', '"?"']
+    items = [f'{{"product_id": "p{i}", "product_name": "P", "product_type": "Loan", "price": 5, "launch_date": "2020-01-01", "is_active": {v}, "category": "SME", "vendor_name": "V"}}' for i, v in enumerate(given)]
+    items.append(items[0].replace("p0", "p9").replace("2020-01-01", "2090-01-02"))
+    (tmp_path / "products_json.txt").write_text("[" + ",".join(items) + "]")
+    raw = readers.json_array(spark, f"{tmp_path}/products_json.txt", list(entities.PRODUCTS.raw), ("is_active",))[0]
+    got = {r.product_id: r for r in entities.products(raw).collect()}
+    assert [(got[f"P{i}"].is_active, got[f"P{i}"].dq_flags) for i in range(6)] == [(False, "IS_ACTIVE_DEFAULTED"), (True, ""), (True, ""), (False, "IS_ACTIVE_DEFAULTED"), (False, ""), (False, "IS_ACTIVE_DEFAULTED")]
+    assert got["P9"].first_error.rule_id == "PR-LAUNCH"
 
 
 def test_arrivals(spark, drops, tmp_path):
@@ -112,9 +197,16 @@ def test_arrivals(spark, drops, tmp_path):
     inbox.mkdir()
     for name, files, kind, cut in (("day1", one, "baseline", None), ("day2", two, "incremental", "2026-10-02T00:00:00")):
         (inbox / f"{name}.json").write_text(json.dumps({"batch_id": name, "load_type": kind, "dt": "2026-10-01", "cutoff": cut, "files": files}))
+    (inbox / "bad.json").write_text("{ no description")
+    late = {"customers": f"{tmp_path}/late.csv"} | {k: v for k, v in two.items() if k != "customers"}
+    (inbox / "day3.json").write_text(json.dumps({"batch_id": "day3", "load_type": "incremental", "dt": "2026-10-03", "cutoff": "2026-10-03T00:00:00", "files": late}))
     for _ in range(2):  # the second call sees nothing new
         q = watch(spark, str(inbox), root, str(tmp_path / "seen"))
         q.awaitTermination(600)
         assert q.exception() is None
     store = Store(spark, root)
-    assert [store.read_json(f"control/{n}.json")["status"] for n in ("day1", "day2")] == ["LOADED", "LOADED"]
+    assert [batches.status(store, n)["status"] for n in ("day1", "day2", "day3")] == ["LOADED", "LOADED", "FAILED"]
+    assert len([n for n in store.names(DEAD) if n.endswith(".json")]) == 2
+    (tmp_path / "late.csv").write_text(CUSTOMERS + customer(9))
+    assert sorted(redrive(spark, root).values()) == ["DEAD", "LOADED"] and batches.status(store, "day3")["status"] == "LOADED"
+    assert store.read_json("control/audit/day3.json")["results"]["customers"]["clean"] == 1

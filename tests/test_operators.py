@@ -1,9 +1,11 @@
+import random
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import dedup, facts, ids, pit, scd2
+from tidemark.functions import numbers
+from tidemark.operators import dedup, facts, fuzzy, ids, pit, scd2
 from tidemark.plans import entities, kpis, quality
 
 
@@ -58,6 +60,55 @@ def test_velocity_is_exact_to_the_microsecond(spark):
     assert [r.n for r in df.select("ts", kpis.recent_count("k", "ts").alias("n")).orderBy("ts").collect()] == [1, 2, 3, 1]
 
 
+def test_orders_and_nulls(spark):
+    four = spark.createDataFrame([("D", None, "a2"), ("D", datetime(2020, 1, 1), "a1"), ("H", None, "a0")], "dormant_flag string, last_txn_ts timestamp_ntz, account_id string")
+    assert [r.account_id for r in kpis.in_order("kpi04", four).collect()] == ["a2", "a1", "a0"]
+    nine = spark.createDataFrame([(None, "p1", "b"), (5.0, "p2", "b"), (5.0, None, "b"), (7.0, "p3", "b")], "refund_value_pct double, product_id string, branch_id string")
+    assert [r.product_id for r in kpis.in_order("kpi09", nine).collect()] == ["p3", "p2", None, "p1"]
+
+
+def test_percentages_are_exact_for_large_numbers(spark):
+    rows = [(10**15, 3), (-1, 3), (1, 0), (2**63 - 1, 2**63 - 1), (2**62, 2**63 - 1), (0, 5), (None, 1), (1, 40_000)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    want = [None if not b or a is None else (1 if a * b >= 0 else -1) * float((2 * 10_000 * abs(a) + abs(b)) // (2 * abs(b))) / 100 for a, b in rows]
+    assert [r[0] for r in df.select(numbers.exact_pct(F.col("a"), F.col("b"))).collect()] == want
+
+
+def test_tertiles_equal_percent_ranks(spark):
+    draw = random.Random(4)
+    values = [draw.choice([draw.randrange(-(10**12), 10**12), draw.randrange(50), -(2**63), 2**63 - 1]) for _ in range(500)] + [7] * 60
+    df = spark.createDataFrame([("k", v) for v in values] + [("one", 3)], "kind string, value long")
+    got = {(r.kind, r.value): r.tertile for r in kpis.tertiles(df, ["kind"]).collect()}
+    for v in set(values):
+        p = sum(x < v for x in values) / (len(values) - 1)
+        assert got["k", v] == (1 if p < 1 / 3 else 2 if p < 2 / 3 else 3)
+    assert got["one", 3] == 1
+
+
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_cleansing_reads_its_rows_once(spark, tmp_path):
+    """One scan for the rows; the distinct odd values come from a job of their own, and each dimension is read once."""
+    raw = spark.createDataFrame([(*GOOD, 2, "{}")], ", ".join(f"{c} string" for c in TX) + ", _src_row long, _raw string")
+    raw.write.parquet(f"{tmp_path}/raw")
+    spark.createDataFrame([("A1",)], "account_id string").write.parquet(f"{tmp_path}/dim")
+    rows = entities.transactions(spark.read.parquet(f"{tmp_path}/raw"))
+    assert scans(rows) == 1 and scans(entities.references(rows, [("TX-RI-ACCT", "account_id", spark.read.parquet(f"{tmp_path}/dim"))])) == 2
+    c = spark.createDataFrame([(*["x"] * 10, 2, "{}")], ", ".join(f"{n} string" for n in entities.CUSTOMERS.raw) + ", _src_row long, _raw string")
+    c.write.parquet(f"{tmp_path}/customers")
+    assert scans(entities.customers(spark.read.parquet(f"{tmp_path}/customers"))) == 1
+
+
+def test_many_odd_values_are_joined(spark, monkeypatch):
+    df = spark.createDataFrame([(v,) for v in ("Succes", "success", "Faild", "zzz", None, "SUCC")], "status string")
+    want = {("Succes", "SUCCESS"), ("success", "SUCCESS"), ("Faild", "FAILED"), ("zzz", None), (None, None), ("SUCC", None)}
+    for most in (10, 1):
+        monkeypatch.setattr(fuzzy, "LOCAL_VALUES", most)
+        assert {tuple(r) for r in fuzzy.close_match(df, "status", ["SUCCESS", "FAILED"], "to").collect()} == want
+
+
 def test_top_reasons_break_ties_by_rank(spark):
     df = spark.createDataFrame([("e", "B", 1), ("e", "A", 2), ("e", "C", 3), ("e", "C", 3), ("e", "D", 9)], "entity string, error_code string, rank int")
     assert quality.top_reasons(df, ["entity"], 3, F.col("rank")).first().top_reasons == "C=2; B=1; A=1"

@@ -28,3 +28,17 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "TakeOrderedAndProject" in plan and "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
     plan = QUERIES["distinct_accounts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(event_type,error)" in plan
+
+
+def test_single_passes_over_the_facts(spark):
+    """The indicators that share sums read the line items once; reconciliation reads them once more to count new rows."""
+    for name, most in (("kpi02_branch_trend", 1), ("kpi03_product_revenue", 1), ("snapshot_delta", 1), ("kpi11_reconciliation", 2)):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("l_orderkey#") and sum("lineitem.parquet" in line and "FileScan" in line for line in plan.splitlines()) <= most, name
+
+
+def test_indicators_are_in_order(spark):
+    got = [(r.region, r.rnk, r.branch_id) for r in QUERIES["kpi07_branch_rank"](spark, SF).collect()]
+    assert got == sorted(got)
+    got = [(r.refund_value_pct is None, -(r.refund_value_pct or 0)) for r in QUERIES["kpi09_refund_rate"](spark, SF).collect()]
+    assert got == sorted(got)

@@ -17,12 +17,18 @@ def whole(c: Column) -> Column:
     return c.cast("bigint")
 
 
+#: Products of bigints and the factor of percentages.
+WIDE = "decimal(28,0)"
+
+
 def exact_pct(a: Column, b: Column) -> Column:
     """100 * a / b of bigints to two places, halves away from zero, by integer arithmetic; null where b is 0 or null.
 
-    Good for |a| below 4e14; the sign takes in the denominator's.
+    Exact for all bigints (the last step, a division by 100, is in doubles); the sign takes in the denominator's.
     """
     a, b = a.cast("bigint"), F.nullif(b.cast("bigint"), F.lit(0).cast("bigint"))
-    over, under = F.abs(a) * 20000 + F.abs(b), F.abs(b) * 2
-    size = (over - over % under) / under
-    return F.when(F.signum(a.cast("double")) * F.signum(b.cast("double")) < 0, -size).otherwise(size) / 100.0
+    size_of = lambda c: F.abs(c.cast(WIDE))
+    # (2 * 10000 |a| + |b|) // (2 |b|): hundredths of a percent, rounded half up.
+    over, under = (size_of(a) * 20000 + size_of(b)).cast(WIDE), (size_of(b) * 2).cast(WIDE)
+    hundredths = ((over - over % under) / under).cast(WIDE).cast("double")
+    return F.when(F.signum(a.cast("double")) * F.signum(b.cast("double")) < 0, -hundredths).otherwise(hundredths) / 100.0

@@ -22,10 +22,6 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(trimmed(c), F.lit(""))
 
 
-def upper_id(c: Column) -> Column:
-    return F.upper(blank_to_null(c))
-
-
 def canonical(c: Column, allowed: Iterable[str] | Mapping[str, str]) -> Column:
     """The allowed value that equals c but for case and outer white space, else null. A mapping gives lower-case keys."""
     pairs = allowed.items() if isinstance(allowed, Mapping) else ((a.lower(), a) for a in allowed)
@@ -53,10 +49,6 @@ def boolean(c: Column) -> Column:
     return F.when(v.isin(*TRUE_WORDS), F.lit(True)).when(v.isin(*FALSE_WORDS), F.lit(False))
 
 
-def without_suffix(c: Column, pattern: str) -> Column:
-    return F.regexp_replace(c, f"{pattern}$", "")
-
-
 def first_number(c: Column) -> Column:
     """The first run of digits as a bigint, null without one."""
     return F.nullif(F.regexp_extract(c, r"[0-9]+", 0), F.lit("")).try_cast("bigint")

@@ -1,13 +1,18 @@
 """A batch from raw files to published indicators: register, cleanse, merge, gate, publish, or leave all as it was.
 
-Tables are written to versioned folders; a pointer file names the versions that count and is replaced last, so a
-batch that fails on the way leaves nothing behind that readers see.
+Tables are written to versioned folders; the last entry of a log names the versions that count, and is added last, so a
+batch that fails or is killed on the way leaves nothing behind that readers see. Every batch has a log of its states.
+A batch is skipped only if it was loaded; a failed one may come again, one that somebody else holds may not, until its
+lease ends. One batch at a time writes: a lock over all batches says which, and the log of versions takes an entry only
+behind the one that its writer has read, so that no writer undoes another's tables even without the lock.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +25,13 @@ from ..sources.star import Star
 from ..sources.store import Store
 from . import entities, kpis, quality
 
-POINTER = "control/gold.json"
+POINTER, WRITER = "control/gold", "control/writer"
 DIMS = {"customers": ("dim_customer", "customer_sk"), "branches": ("dim_branch", "branch_sk"), "products": ("dim_product", "product_sk")}
 #: Fact columns that count as values when a row comes again.
 FACT_VALUES = ["account_id", "product_id", "branch_id", "transaction_date", "timestamp", "amount", "payment_method", "status", "currency", "remarks", "is_refund"]
+#: Seconds after which the lock of a batch that has not been heard of may be taken over.
+LEASE = 6 * 3600
+RUNNING = ("RECEIVED", "VALIDATED", "PROCESSING")
 
 
 @dataclass(frozen=True)
@@ -45,23 +53,56 @@ class GateError(RuntimeError):
     """A batch whose counts do not add up, or with too many rejects."""
 
 
+class BusyError(RuntimeError):
+    """Somebody else is writing, or has written meanwhile; the batch may be run again."""
+
+
 def now() -> str:
     return datetime.now(timezone.utc).isoformat(timespec="seconds")
 
 
-def register(store: Store, batch: Batch) -> dict | None:
-    """Copy the raw files, write the manifest last and take the batch's lock; None if it was loaded or is being loaded.
+def _expiry(lease: float) -> str:
+    return (datetime.now(timezone.utc) + timedelta(seconds=lease)).isoformat()
 
-    A batch that failed may come again.
-    """
-    item = f"control/{batch.batch_id}.json"
-    old = store.read_json(item)
-    if old and old["status"] != "FAILED":
-        return None
-    if old:
-        store.delete(item)
-    if not store.create(item, {"batch_id": batch.batch_id, "status": "RECEIVED", "at": now()}):
-        return None
+
+def _expired(value: dict) -> bool:
+    return datetime.fromisoformat(value["expires"]) <= datetime.now(timezone.utc)
+
+
+def item_of(batch_id: str) -> str:
+    return f"control/batches/{batch_id}"
+
+
+def status(store: Store, batch_id: str) -> dict | None:
+    """The last state of a batch: batch_id, status, owner, at, expires and, of failures, error."""
+    return store.latest(item_of(batch_id))[1]
+
+
+class Lock:
+    """A log whose last entry says who holds it and until when; every further entry must come from its holder."""
+
+    def __init__(self, store: Store, log: str, owner: str, lease: float):
+        self.store, self.log, self.owner, self.lease, self.at = store, log, owner, lease, -1
+
+    def take(self, free: Callable[[dict], bool], **value: str) -> bool:
+        """Become the holder if nobody is, the last entry is free, or its lease has ended."""
+        at, last = self.store.latest(self.log)
+        if last is not None and not free(last) and not _expired(last):
+            return False
+        self.at = at
+        return self.say(**value)
+
+    def say(self, **value: str) -> bool:
+        """Add an entry; False if somebody has taken over."""
+        entry = {**value, "owner": self.owner, "at": now(), "expires": _expiry(self.lease)}
+        if not self.store.append(self.log, self.at, entry):
+            return False
+        self.at += 1
+        return True
+
+
+def copy_in(store: Store, batch: Batch) -> dict:
+    """Copy the raw files beside their manifest, which is written last and held against the copies."""
     folder = f"bronze/load_type={batch.load_type}/dt={batch.dt}/batch_id={batch.batch_id}"
     files = []
     for entity, path in sorted(batch.files.items()):
@@ -70,21 +111,19 @@ def register(store: Store, batch: Batch) -> dict | None:
         files.append({"entity": entity, "key": key, "bytes": size, "sha256": sha})
     manifest = {"batch_id": batch.batch_id, "load_type": batch.load_type, "dt": batch.dt, "cutoff_ts": batch.cutoff.isoformat() if batch.cutoff else None, "schema_version": batch.schema_version, "files": files}
     verify(store, manifest)
-    store.replace_json(f"{folder}/manifest.json", manifest)
-    store.replace_json(item, {"batch_id": batch.batch_id, "status": "VALIDATED", "at": now()})
+    store.write_json(f"{folder}/manifest.json", manifest)
     return manifest
 
 
 def verify(store: Store, manifest: dict) -> None:
     """Every file is what the manifest says."""
     for f in manifest["files"]:
-        (row,) = readers.checksums(store.spark, store.path(f["key"])).collect()
-        if (row.bytes, row.sha256) != (f["bytes"], f["sha256"]):
+        if store.checksum(f["key"]) != (f["bytes"], f["sha256"]):
             raise GateError(f"{f['key']} is not the file of the manifest")
 
 
 def gold(store: Store, name: str) -> DataFrame | None:
-    pointer = store.read_json(POINTER) or {}
+    pointer = store.latest(POINTER)[1] or {}
     return store.spark.read.parquet(store.path(pointer[name])) if name in pointer else None
 
 
@@ -92,7 +131,7 @@ def _read(store: Store, manifest: dict, entity: entities.Entity) -> DataFrame:
     (f,) = [f for f in manifest["files"] if f["entity"] == entity.name]
     path, columns = store.path(f["key"]), list(entity.raw)
     if path.endswith(("_json.txt", ".json")):
-        return readers.json_array(store.spark, path, columns)[0]
+        return readers.json_array(store.spark, path, columns, ("is_active",))[0]
     return readers.csv_text(store.spark, path, columns)
 
 
@@ -110,31 +149,54 @@ def _clean(store: Store, batch: Batch, entity: entities.Entity, annotated: DataF
     return read(store.path(silver)), read(store.path(f"quarantine/{entity.name}/batch_id={batch.batch_id}"))
 
 
-def _publish(store: Store, batch: Batch, pointer: dict, name: str, df: DataFrame) -> DataFrame:
-    pointer[name] = f"gold/{name}/v={batch.batch_id}"
+def _publish(store: Store, owner: str, pointer: dict, name: str, df: DataFrame) -> DataFrame:
+    pointer[name] = f"gold/{name}/v={owner}"
     sinks.write_parquet(df, store.path(pointer[name]))
     return store.spark.read.parquet(store.path(pointer[name]))
 
 
-def run(spark: SparkSession, root: str, batch: Batch) -> str:
-    """Load a batch; LOADED, or SKIPPED if it was loaded before. Raises and records FAILED if a gate closes."""
+def run(spark: SparkSession, root: str, batch: Batch, lease: float = LEASE, take_over: bool = False) -> str:
+    """Load a batch; LOADED, or SKIPPED if it was loaded before.
+
+    Raises BusyError if another batch is being written or this one is held elsewhere; any other failure is recorded as
+    FAILED and raised. With `take_over`, locks of runs that are known to be dead are taken before their lease ends.
+    """
     store = Store(spark, root)
-    manifest = register(store, batch)
-    if manifest is None:
+    owner = f"{batch.batch_id}-{uuid.uuid4().hex[:12]}"
+    last = status(store, batch.batch_id)
+    if last and last["status"] == "LOADED":
         return "SKIPPED"
-    item = f"control/{batch.batch_id}.json"
+    writer, item = Lock(store, WRITER, owner, lease), Lock(store, item_of(batch.batch_id), owner, lease)
+    if not writer.take(lambda v: take_over or v["status"] == "FREE", status="HELD", batch_id=batch.batch_id):
+        raise BusyError("another batch is being written")
     try:
-        pointer = _load(store, batch, manifest)
-    except Exception as e:
-        store.replace_json(item, {"batch_id": batch.batch_id, "status": "FAILED", "at": now(), "error": str(e)[:500]})
-        raise
-    store.replace_json(POINTER, pointer)
-    store.replace_json(item, {"batch_id": batch.batch_id, "status": "LOADED", "at": now()})
-    return "LOADED"
-
-
-def _load(store: Store, batch: Batch, manifest: dict) -> dict:
-    spark, pointer = store.spark, dict(store.read_json(POINTER) or {})
+        if not item.take(lambda v: take_over or v["status"] not in RUNNING, batch_id=batch.batch_id, status="RECEIVED"):
+            raise BusyError(f"{batch.batch_id} is held by another run")
+        version, pointer = store.latest(POINTER)
+        if batch.batch_id in (pointer or {}).get("batches", []):  # killed after its tables were published
+            item.say(batch_id=batch.batch_id, status="LOADED")
+            return "LOADED"
+        try:
+            manifest = copy_in(store, batch)
+            item.say(batch_id=batch.batch_id, status="VALIDATED")
+            item.say(batch_id=batch.batch_id, status="PROCESSING")
+            pointer, audit = _load(store, batch, manifest, owner, pointer or {})
+            pointer["batches"] = [*pointer.get("batches", []), batch.batch_id]
+            if not store.append(POINTER, version, pointer):
+                raise BusyError("another batch was published meanwhile")
+        except Exception as e:
+            item.say(batch_id=batch.batch_id, status="FAILED", error=str(e)[:500])
+            raise
+        store.write_json(f"control/audit/{batch.batch_id}.json", audit)
+        item.say(batch_id=batch.batch_id, status="LOADED")
+        return "LOADED"
+    finally:
+        writer.say(status="FREE", batch_id=batch.batch_id)
+
+
+def _load(store: Store, batch: Batch, manifest: dict, owner: str, published: dict) -> tuple[dict, dict]:
+    """Write all tables of the batch; the pointer that would publish them, and the batch's audit."""
+    spark, pointer = store.spark, dict(published)
     name_of = {f["entity"]: f["key"].rsplit("/", 1)[-1] for f in manifest["files"]}
     rejects, counts, changes, dims = [], [], {}, {}
     for entity in (entities.BRANCHES, entities.PRODUCTS, entities.CUSTOMERS):
@@ -150,7 +212,7 @@ def _load(store: Store, batch: Batch, manifest: dict) -> dict:
                 raise GateError("an incremental batch needs a cutoff")
             kinds = {r.change: r.n for r in scd2.change_counts(old, hashed, entity.key).collect()}
             new = scd2.merge(old, hashed, entity.key, sk, "_order", batch.cutoff)
-        dims[entity.name] = _publish(store, batch, pointer, table, new)
+        dims[entity.name] = _publish(store, owner, pointer, table, new)
         changes |= {f"{entity.name}_{k}": kinds.get(k, 0) for k in ("new", "changed")}
         rejects.append(bad)
         counts.append((entity.name, name_of[entity.name], raw.count(), clean.count(), bad.count()))
@@ -169,23 +231,25 @@ def _load(store: Store, batch: Batch, manifest: dict) -> dict:
     else:
         moved = tuple(facts.summary(old, incoming, "transaction_id", FACT_VALUES).first())
         fact = facts.upsert(old, incoming, "transaction_id", batch.batch_id)
-    fact = _publish(store, batch, pointer, "fact_transaction", fact)
+    fact = _publish(store, owner, pointer, "fact_transaction", fact)
     received = spark.createDataFrame([(batch.batch_id, e, s, n) for e, s, n, _, _ in counts], "batch_id string, entity string, source_file string, received long")
     all_rejects = rejects[0].unionByName(rejects[1]).unionByName(rejects[2]).unionByName(rejects[3])
     _gates(spark, batch, counts, all_rejects, received)
     card = quality.scorecard(received, all_rejects)
     old_card = gold(store, "dq_scorecard")
-    _publish(store, batch, pointer, "dq_scorecard", card if old_card is None else quality.replace_batch(old_card, card, batch.batch_id))
+    _publish(store, owner, pointer, "dq_scorecard", card if old_card is None else quality.replace_batch(old_card, card, batch.batch_id))
     row = {"batch_id": batch.batch_id, "fact_inserted": moved[0], "fact_updated": moved[1], "fact_corrected": moved[2], **changes}
     change_schema = "batch_id string, fact_inserted long, fact_updated long, fact_corrected long, customers_new long, customers_changed long, products_changed long, branches_changed long"
     fresh = spark.createDataFrame([tuple(row[c.split()[0]] for c in change_schema.split(", "))], change_schema)
     old_changes = gold(store, "batch_changes")
-    _publish(store, batch, pointer, "batch_changes", fresh if old_changes is None else quality.replace_batch(old_changes, fresh, batch.batch_id))
-    s = star_of(fact, dims["customers"], dims["branches"], dims["products"])
-    snap = quality.snapshot(batch.batch_id, kpis.top_customers(s), kpis.branch_rank(s))
+    _publish(store, owner, pointer, "batch_changes", fresh if old_changes is None else quality.replace_batch(old_changes, fresh, batch.batch_id))
+    snap = kpis.snapshots(v_fact(fact), dims["branches"], {batch.batch_id: F.lit(True)})
     old_snap = gold(store, "kpi_snapshot")
-    _publish(store, batch, pointer, "kpi_snapshot", snap if old_snap is None else quality.replace_batch(old_snap, snap, batch.batch_id))
-    return pointer
+    _publish(store, owner, pointer, "kpi_snapshot", snap if old_snap is None else quality.replace_batch(old_snap, snap, batch.batch_id))
+    total = quality.control_sum(clean).first()
+    results = {e: {"source_file": f, "raw": n, "clean": c, "rejected": r} for e, f, n, c, r in counts}
+    audit = {"batch_id": batch.batch_id, "as_of": batch.as_of, "at": now(), "results": results, "changes": row, "clean_rows": total.rows, "clean_amount_inr": int(total.home_amount)}
+    return pointer, audit
 
 
 def _gates(spark: SparkSession, batch: Batch, counts: list[tuple], rejects: DataFrame, received: DataFrame) -> None:
@@ -211,10 +275,11 @@ def published(spark: SparkSession, root: str) -> Star:
 
 
 def indicators(spark: SparkSession, root: str, as_of: str, cutoff: str, before: str, now_batch: str) -> dict[str, DataFrame]:
-    """All thirteen over the published tables."""
+    """All thirteen over the published tables, in the order in which they are shown."""
     s, store = published(spark, root), Store(spark, root)
-    return {
+    rows = {
         "kpi01": kpis.top_customers(s), "kpi02": kpis.branch_trend(s), "kpi03": kpis.product_revenue(s), "kpi04": kpis.dormant_accounts(s, as_of), "kpi05": kpis.suspicious(s.fact),
         "kpi06": kpis.rfm_segments(s, as_of), "kpi07": kpis.branch_rank(s), "kpi08": kpis.kyc_exposure(s), "kpi09": kpis.refund_rate(s), "kpi10": kpis.scorecard_rates(gold(store, "dq_scorecard")),
         "kpi11": kpis.reconciliation(gold(store, "batch_changes"), gold(store, "kpi_snapshot")), "kpi12": kpis.kyc_transitions(s.customer), "kpi13": kpis.activation(s.fact, s.customer, before, now_batch, cutoff),
     }
+    return {k: kpis.in_order(k, v) for k, v in rows.items()}

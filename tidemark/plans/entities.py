@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..functions import dates, numbers, text
 from ..operators.dedup import dedupe_errors
 from ..operators.fuzzy import close_match
-from ..operators.pit import known, missing
 from ..operators.rules import Flag, Rule, annotate, error
 
 AS_OF = "2026-10-06"
@@ -62,10 +61,10 @@ def _date(as_of: str) -> Column:
 
 
 def _after_dedup(df: DataFrame, entity: Entity) -> DataFrame:
-    """Copies and conflicts among the rows that passed so far."""
-    passed = dedupe_errors(df.filter("first_error IS NULL"), entity.key, list(entity.business), entity.prefix)
-    passed = passed.withColumn("first_error", F.col("dup_error")).drop("dup_error")
-    return passed.unionByName(df.filter("first_error IS NOT NULL"))
+    """Copies and conflicts among the rows that passed so far; one pass over all rows."""
+    passed = F.col("first_error").isNull()
+    rows = dedupe_errors(df, entity.key, list(entity.business), entity.prefix, among=passed)
+    return rows.withColumn("first_error", F.coalesce("first_error", F.when(passed, F.col("dup_error")))).drop("dup_error")
 
 
 def customers(raw: DataFrame, as_of: str = AS_OF) -> DataFrame:
@@ -96,14 +95,17 @@ def customers(raw: DataFrame, as_of: str = AS_OF) -> DataFrame:
 
 
 def shared_accounts(df: DataFrame) -> DataFrame:
-    """Of customers with one account, the one whose number is the account's stays; with no or several such, none does."""
-    passed, rest = df.filter("first_error IS NULL"), df.filter("first_error IS NOT NULL")
-    w = Window.partitionBy("account_id")
+    """Of customers with one account, the one whose number is the account's stays; with no or several such, none does.
+
+    Rows that failed before stand alone by their position.
+    """
+    passed = F.col("first_error").isNull()
+    rows = df.withColumns({"_account": F.when(passed, F.col("account_id")), "_alone": F.when(~passed, F.col("_src_row"))})
+    w = Window.partitionBy("_account", "_alone")
     same = F.coalesce(text.first_number(F.col("customer_id")) == text.first_number(F.col("account_id")), F.lit(False))
-    passed = passed.withColumns({"_same": same, "_n": F.count("*").over(w)}).withColumn("_matches", F.count_if("_same").over(w))
-    rule = Rule("CU-ACCT", "ACCOUNT_CONFLICT", "several customers claim one account", (F.col("_n") > 1) & ~(F.col("_same") & (F.col("_matches") == 1)))
-    passed = passed.withColumn("first_error", F.when(rule.fails, error(rule))).drop("_same", "_n", "_matches")
-    return passed.unionByName(rest)
+    rows = rows.withColumns({"_same": same, "_n": F.count("*").over(w)}).withColumn("_matches", F.count_if("_same").over(w))
+    rule = Rule("CU-ACCT", "ACCOUNT_CONFLICT", "several customers claim one account", passed & (F.col("_n") > 1) & ~(F.col("_same") & (F.col("_matches") == 1)))
+    return rows.withColumn("first_error", F.coalesce("first_error", F.when(rule.fails, error(rule)))).drop("_same", "_n", "_matches", "_account", "_alone")
 
 
 def branches(raw: DataFrame, as_of: str = AS_OF) -> DataFrame:
@@ -128,9 +130,9 @@ def branches(raw: DataFrame, as_of: str = AS_OF) -> DataFrame:
 
 
 def products(raw: DataFrame, as_of: str = AS_OF) -> DataFrame:
-    """Values as text; JSON booleans come as true and false, and numeric 1 and 0 are no booleans (tell them by is_active_kind)."""
+    """Values as text; JSON booleans come as true and false. Numbers, 1 and 0 too, are no booleans where is_active_kind tells them."""
     p = raw.withColumns({n: text.blank_to_null(F.col(n)) for n in PRODUCTS.raw})
-    price = numbers.number(F.when(~F.lower("price").isin("true", "false"), F.col("price")))
+    price = numbers.number(F.col("price"))
     active = text.boolean(F.col("is_active"))
     if "is_active_kind" in p.columns:
         active = F.when(F.col("is_active_kind") != "number", active)
@@ -145,9 +147,9 @@ def products(raw: DataFrame, as_of: str = AS_OF) -> DataFrame:
         Rule("PR-PRICE-NEG", "NEGATIVE_PRICE", "price is below zero", F.col("_price") < 0),
         Rule("PR-CAT", "INVALID_CATEGORY", "unknown category", _null("category")),
         Rule("PR-TYPE", "INVALID_PRODUCT_TYPE", "unknown product type", _null("product_type")),
-        Rule("PR-LAUNCH", "INVALID_DATE", "launch date is missing or unreadable", _null("launch_date")),
+        Rule("PR-LAUNCH", "INVALID_DATE", "launch date is missing, unreadable or in the future", _null("launch_date") | (F.col("launch_date") > _date(as_of))),
     ]
-    annotated = annotate(p, rules, [Flag("IS_ACTIVE_DEFAULTED", _null("_active"))]).drop("_price", "_active")
+    annotated = annotate(p, rules, [Flag("IS_ACTIVE_DEFAULTED", _null("_active"))]).drop("_price", "_active", "is_active_kind")
     return _after_dedup(annotated, PRODUCTS)
 
 
@@ -176,7 +178,7 @@ def transactions(raw: DataFrame, as_of: str = AS_OF) -> DataFrame:
         Rule("TX-PAY", "INVALID_PAYMENT_METHOD", "unknown payment method", _null("_payment")),
     ]
     flags = [
-        Flag("DATE_RECONCILED_TO_TIMESTAMP", ~F.col("_agrees")), Flag("DATE_AMBIGUOUS_RESOLVED_BY_TS", F.col("_agrees") & (F.size("_read") > 1)),
+        Flag("DATE_RECONCILED_TO_TIMESTAMP", ~F.col("_agrees") & (F.size("_read") > 0)), Flag("DATE_AMBIGUOUS_RESOLVED_BY_TS", F.col("_agrees") & (F.size("_read") > 1)),
         Flag("NON_INR_CURRENCY", F.col("currency") != "INR"), Flag("IS_REFUND_DEFAULTED", _null("_refund")), Flag("LATE_CORRECTION", F.col("is_correction")),
     ]
     t = annotate(t, rules, flags).withColumns({"amount": numbers.whole(F.col("_amount")), "timestamp": F.col("_ts"), "status": F.col("_status"), "payment_method": F.col("_payment"), "is_refund": F.coalesce("_refund", F.lit(False))})
@@ -185,13 +187,15 @@ def transactions(raw: DataFrame, as_of: str = AS_OF) -> DataFrame:
 
 
 def references(df: DataFrame, dims: list[tuple[str, str, DataFrame]]) -> DataFrame:
-    """Reject passed rows whose key no version of a dimension has: (rule id, key, dimension) in order."""
-    passed, out = df.filter("first_error IS NULL"), df.filter("first_error IS NOT NULL")
+    """Reject passed rows whose key no version of a dimension has: (rule id, key, dimension) in order.
+
+    Each dimension's distinct keys are joined once to all rows; the first that is missing claims the row.
+    """
     for rule_id, key, dim in dims:
-        rule = Rule(rule_id, "MISSING_DIM", f"{key} is in no dimension", F.lit(True))
-        out = out.unionByName(missing(passed, dim, key, key).withColumn("first_error", F.when(rule.fails, error(rule))))
-        passed = known(passed, dim, key, key)
-    return passed.unionByName(out)
+        keys = dim.select(F.col(key).alias("_known")).filter("_known IS NOT NULL").distinct()
+        rule = Rule(rule_id, "MISSING_DIM", f"{key} is in no dimension", F.col("_known").isNull())
+        df = df.join(keys, F.col(key) == F.col("_known"), "left").withColumn("first_error", F.coalesce("first_error", F.when(rule.fails, error(rule)))).drop("_known")
+    return df
 
 
 CUSTOMERS = Entity(

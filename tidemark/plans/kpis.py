@@ -54,26 +54,33 @@ def _change(value: str, key: str) -> tuple[Column, Column]:
 
 
 def branch_trend(s: Star) -> DataFrame:
-    """KPI 2: volume per branch and month in the region of the time, and the change from the last month with any."""
+    """KPI 2: volume per branch and month in the region of the time, and the change from the last month with any.
+
+    Facts are summed per version of a branch before the few versions are joined.
+    """
     branch = s.branch.select("branch_sk", "region")
     month = month_of("transaction_date").alias("month")
-    rows = successes(s.fact).join(branch, "branch_sk").groupBy("region", "branch_id", month).agg(F.sum("amount").alias("volume"), F.count("*").alias("txn_count"))
+    rows = successes(s.fact).groupBy("branch_sk", "branch_id", month).agg(F.sum("amount").alias("volume"), F.count("*").alias("txn_count"))
+    rows = rows.join(branch, "branch_sk").groupBy("region", "branch_id", "month").agg(F.sum("volume").alias("volume"), F.sum("txn_count").alias("txn_count"))
     before, change = _change("volume", "branch_id")
     return rows.withColumns({"prev_month_volume": before, "mom_pct": change})
 
 
 def product_revenue(s: Star) -> DataFrame:
-    """KPI 3: net revenue per product and month, its shares of category and total, and the change."""
+    """KPI 3: net revenue per product and month, its shares of category and total, and the change.
+
+    Facts are read once and summed once. Shares come from windows over those sums: one row per product in a month, so
+    that a task holds as many rows as there are products, however many facts there are.
+    """
     product = s.product.select("product_sk", "category")
     month = month_of("transaction_date").alias("month")
-    rows = successes(s.fact).join(product, "product_sk").groupBy("category", "product_id", month).agg(net().alias("revenue"))
+    rows = successes(s.fact).groupBy("product_sk", "product_id", month).agg(net().alias("revenue"))
+    rows = rows.join(product, "product_sk").groupBy("category", "product_id", "month").agg(F.sum("revenue").alias("revenue"))
     before, change = _change("revenue", "product_id")
-    # Shares by joins with sums per month: a window over a month would gather all its products.
-    by_category = rows.groupBy("category", "month").agg(F.sum("revenue").alias("_in_category"))
-    by_month = by_category.groupBy("month").agg(F.sum("_in_category").alias("_in_month"))
-    rows = rows.withColumns({"prev_period_revenue": before, "pop_pct": change}).join(by_category, ["category", "month"]).join(by_month, "month")
-    share = lambda of: exact_pct(F.col("revenue"), F.col(of))
-    return rows.select("category", "product_id", "month", "revenue", share("_in_category").alias("category_share_pct"), share("_in_month").alias("total_share_pct"), "prev_period_revenue", "pop_pct")
+    rows = rows.withColumns({"prev_period_revenue": before, "pop_pct": change})
+    share = lambda *keys: exact_pct(F.col("revenue"), F.sum("revenue").over(Window.partitionBy(*keys)))
+    rows = rows.withColumn("total_share_pct", share("month")).withColumn("category_share_pct", share("category", "month"))
+    return rows.select("category", "product_id", "month", "revenue", "category_share_pct", "total_share_pct", "prev_period_revenue", "pop_pct")
 
 
 def dormant_accounts(s: Star, as_of: str, days: int = 90) -> DataFrame:
@@ -102,20 +109,40 @@ def suspicious(fact: DataFrame, high: int = 100_000, burst: int = 3) -> DataFram
     return rows.select("transaction_id", "account_id", "branch_id", "txn_ts", "amount", "status", "txns_last_10m", "risk_reason")
 
 
-def tertile(order: Column) -> Column:
-    """1, 2 or 3 by percent rank; ties share it. The window runs over one row per account."""
-    p = F.percent_rank().over(Window.orderBy(order))
-    return F.when(p < F.lit(1.0) / 3, 1).when(p < F.lit(2.0) / 3, 2).otherwise(3)
+def value_block(value: Column) -> Column:
+    """A number that never falls as the value rises, and takes at most some 130,000 values over all bigints."""
+    return (F.signum(value.cast("double")) * F.floor(F.log2(F.abs(value.cast("double")) + 1) * 1024)).cast("bigint")
+
+
+def tertiles(values: DataFrame, keys: list[str]) -> DataFrame:
+    """values (keys, value bigint, any others) as (keys, value, tertile): 1, 2 or 3 by percent rank within the keys; ties share it.
+
+    No task holds all rows: rows are counted per distinct value, running counts are taken over blocks of values (one row
+    per block), and inside each block.
+    """
+    counts = values.groupBy(*keys, "value").agg(F.count("*").alias("n")).withColumn("block", value_block(F.col("value")))
+    blocks = counts.groupBy(*keys, "block").agg(F.sum("n").alias("n"))
+    before = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(*keys, "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("prior"), F.sum("n").over(Window.partitionBy(*keys)).alias("total"))
+    inside = Window.partitionBy(*keys, "block").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    less = F.col("prior") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    p = F.coalesce(less / F.nullif(F.col("total") - 1, F.lit(0)), F.lit(0.0))
+    ranks = counts.join(blocks, [*keys, "block"])
+    return ranks.select(*keys, "value", F.when(p < F.lit(1.0) / 3, 1).when(p < F.lit(2.0) / 3, 2).otherwise(3).alias("tertile"))
 
 
 def rfm_segments(s: Star, as_of: str) -> DataFrame:
     """KPI 6: recency, frequency and monetary scores of accounts with successes, and their segment."""
     rows = successes(s.fact).groupBy("account_id").agg(F.datediff(_timestamp(as_of), F.max("txn_ts")).cast("bigint").alias("recency_days"), F.count("*").alias("frequency"), net().alias("monetary"))
-    score = tertile(F.desc("recency_days")) + tertile(F.asc("frequency")) + tertile(F.asc("monetary"))
-    rows = rows.withColumn("rfm_score", score)
+    # One row per account and score, so that one plan ranks all three; fewer days are better.
+    value = lambda kind, c: F.struct(F.lit(kind).alias("kind"), c.alias("value"))
+    long = rows.select("account_id", F.inline(F.array(value("recency", -F.col("recency_days")), value("frequency", F.col("frequency")), value("monetary", F.col("monetary")))))
+    scored = long.join(tertiles(long, ["kind"]), ["kind", "value"])
+    of = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("value")))
+    scored = scored.groupBy("account_id").agg((-of("recency")).alias("recency_days"), of("frequency").alias("frequency"), of("monetary").alias("monetary"), F.sum("tertile").cast("int").alias("rfm_score"))
     segment = F.when(F.col("rfm_score") >= 8, "Platinum").when(F.col("rfm_score") >= 6, "Gold").when(F.col("rfm_score") == 5, "Silver").otherwise("Bronze")
     owner = _current(s.customer).select("account_id", "customer_id")
-    return rows.join(owner, "account_id", "left").select("customer_id", "account_id", "recency_days", "frequency", "monetary", "rfm_score", segment.alias("segment"))
+    return scored.join(owner, "account_id", "left").select("customer_id", "account_id", "recency_days", "frequency", "monetary", "rfm_score", segment.alias("segment"))
 
 
 def branch_rank(s: Star) -> DataFrame:
@@ -156,6 +183,28 @@ def scorecard_rates(scorecard: DataFrame) -> DataFrame:
     return scorecard.select("batch_id", "entity", "source_file", "received", "passed", "rejected", exact_pct(F.col("rejected"), F.col("received")).alias("reject_pct"), "top_reasons")
 
 
+def snapshots(fact: DataFrame, branch: DataFrame, held: dict[str, Column], k: int = 5) -> DataFrame:
+    """(batch_id, kpi, key, metric) of KPI 1 and 7 for several states of the facts at once; `held` tells each state's rows.
+
+    Facts are read once: sums per account and branch, for every state, meet in one aggregation; only the k best accounts
+    of each state go on.
+    """
+    ok = successes(fact)
+    signed = F.when(F.col("is_refund"), -F.col("amount")).otherwise(F.col("amount"))
+    states = F.array_compact(F.array(*[F.when(c, F.lit(b)) for b, c in held.items()]))
+    kinds = F.array(F.struct(F.lit("kpi_01_top5_net").alias("kpi"), F.col("account_id").alias("key")), F.struct(F.lit("kpi_07_branch_net").alias("kpi"), F.col("branch_id").alias("key")))
+    by_state = ok.groupBy("account_id", "branch_id", states.alias("states")).agg(F.sum(signed).alias("net"), F.count("*").alias("n"))
+    rows = by_state.select(F.explode("states").alias("batch_id"), kinds.alias("kinds"), "net", "n").select("batch_id", F.inline("kinds"), "net", "n")
+    sums = rows.groupBy("batch_id", "kpi", "key").agg(F.sum("net").alias("net"), F.sum("n").alias("n"))
+    # Branches are each a group of their own, so the limit per group keeps them all.
+    alone = F.when(F.col("kpi") != "kpi_01_top5_net", F.col("key"))
+    rank = F.row_number().over(Window.partitionBy("batch_id", "kpi", alone).orderBy(F.desc("net"), F.desc("n"), "key"))
+    best = sums.withColumn("_rank", rank).filter(F.col("_rank") <= k)
+    now = _current(branch).select(F.col("branch_id").alias("_branch"), F.lit(True).alias("_known"))
+    best = best.join(now, (F.col("kpi") == "kpi_07_branch_net") & (F.col("key") == F.col("_branch")), "left").filter((F.col("kpi") == "kpi_01_top5_net") | F.col("_known"))
+    return best.select("batch_id", "kpi", "key", F.col("net").cast("double").alias("metric"))
+
+
 def snapshot_deltas(snapshot: DataFrame) -> DataFrame:
     """Totals of each indicator by batch, and the change from the batch before (by batch id)."""
     rows = snapshot.groupBy("batch_id", "kpi").agg(F.sum("metric").alias("total"))
@@ -187,3 +236,26 @@ def activation(fact: DataFrame, customer: DataFrame, before: str, now: str, cuto
     joined = customer.groupBy("customer_id").agg(F.max("account_id").alias("account_id"), F.min("valid_from").alias("since")).filter(F.col("since") == _timestamp(cutoff))
     idle = joined.join(fact.select("account_id").distinct(), "account_id", "left_anti").select(F.lit("ONBOARDED_NO_TXN_DAY2").alias("activation_type"), "account_id", "customer_id")
     return first.unionByName(idle)
+
+
+# The order in which each indicator's rows are shown; nulls as told, the SQL standard's last where nothing is told.
+ORDERS: dict[str, list[tuple[str, str]]] = {
+    "kpi01": [("rnk", "asc")],
+    "kpi02": [("region", "asc_nulls_last"), ("branch_id", "asc_nulls_last"), ("month", "asc_nulls_last")],
+    "kpi03": [("month", "asc_nulls_last"), ("category", "asc_nulls_last"), ("revenue", "desc_nulls_last"), ("product_id", "asc")],
+    "kpi04": [("dormant_flag", "asc"), ("last_txn_ts", "asc_nulls_first"), ("account_id", "asc_nulls_last")],
+    "kpi05": [("txn_ts", "asc_nulls_last"), ("transaction_id", "asc_nulls_last")],
+    "kpi06": [("rfm_score", "desc"), ("monetary", "desc"), ("account_id", "asc_nulls_last")],
+    "kpi07": [("region", "asc_nulls_last"), ("rnk", "asc"), ("branch_id", "asc")],
+    "kpi08": [("kyc_status", "asc")],
+    "kpi09": [("refund_value_pct", "desc_nulls_last"), ("product_id", "asc_nulls_last"), ("branch_id", "asc_nulls_last")],
+    "kpi10": [("batch_id", "asc"), ("entity", "asc")],
+    "kpi11": [("batch_id", "asc")],
+    "kpi12": [("changed_on", "asc"), ("customer_id", "asc")],
+    "kpi13": [("activation_type", "asc"), ("account_id", "asc_nulls_last")],
+}
+
+
+def in_order(kpi: str, rows: DataFrame) -> DataFrame:
+    """The rows of an indicator in the order in which it is shown (kpi01 to kpi13)."""
+    return rows.orderBy(*[getattr(F.col(c), how)() for c, how in ORDERS[kpi]])

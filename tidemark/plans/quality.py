@@ -37,13 +37,6 @@ def scorecard(received: DataFrame, rejects: DataFrame) -> DataFrame:
     return rows.select("batch_id", "source_file", "entity", "received", (F.col("received") - rejected).alias("passed"), rejected.alias("rejected"), F.coalesce("top_reasons", F.lit("")).alias("top_reasons"))
 
 
-def snapshot(batch_id: str, top: DataFrame, ranks: DataFrame) -> DataFrame:
-    """(batch_id, kpi, key, metric) of KPI 1 and 7."""
-    one = top.select(F.lit("kpi_01_top5_net").alias("kpi"), F.col("account_id").alias("key"), F.col("net_volume").cast("double").alias("metric"))
-    seven = ranks.select(F.lit("kpi_07_branch_net").alias("kpi"), F.col("branch_id").alias("key"), F.col("net_volume").cast("double").alias("metric"))
-    return one.unionByName(seven).withColumn("batch_id", F.lit(batch_id)).select("batch_id", "kpi", "key", "metric")
-
-
 def replace_batch(snapshots: DataFrame, fresh: DataFrame, batch_id: str) -> DataFrame:
     return snapshots.filter(F.col("batch_id") != batch_id).unionByName(fresh)
 

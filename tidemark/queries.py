@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .functions import dates, numbers, text
 from .operators import dedup, facts, fuzzy, pit, scd2
 from .operators.rules import Flag, Rule, annotate
-from .plans import entities, kpis, quality
+from .plans import cleansing_samples, entities, kpis, quality
 from .sources import star as sample
 from .sources.star import AS_OF, BASELINE, CUTOFF, INCREMENTAL, cents, read, star
 
@@ -74,7 +74,7 @@ r AS (SELECT *, row_number() OVER (ORDER BY net_volume DESC, txn_count DESC, acc
 SELECT rnk::INTEGER AS rnk, customer_id, customer_name, r.account_id, net_volume, txn_count
 FROM r LEFT JOIN dim_customer c ON c.account_id = r.account_id AND c.is_current WHERE rnk <= 5""")
 def kpi01_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpis.top_customers(star(spark, sf_dir))
+    return kpis.in_order("kpi01", kpis.top_customers(star(spark, sf_dir)))
 
 
 @query(f"""WITH {STAR_SQL}, m AS (SELECT region, ok.branch_id, month, sum(amount)::BIGINT AS volume, count(*) AS txn_count
@@ -82,7 +82,7 @@ def kpi01_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
 p AS (SELECT *, lag(volume) OVER (PARTITION BY branch_id ORDER BY month) AS prev_month_volume FROM m)
 SELECT region, branch_id, month, volume, txn_count, prev_month_volume, {pct('(volume - prev_month_volume)', 'prev_month_volume')} AS mom_pct FROM p""")
 def kpi02_branch_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpis.branch_trend(star(spark, sf_dir))
+    return kpis.in_order("kpi02", kpis.branch_trend(star(spark, sf_dir)))
 
 
 @query(f"""WITH {STAR_SQL}, m AS (SELECT category, ok.product_id, month, sum(signed)::BIGINT AS revenue
@@ -92,7 +92,7 @@ p AS (SELECT *, lag(revenue) OVER (PARTITION BY product_id ORDER BY month) AS pr
 SELECT category, product_id, month, revenue, {pct('revenue', 'c')} AS category_share_pct, {pct('revenue', 't')} AS total_share_pct, prev_period_revenue,
        {pct('(revenue - prev_period_revenue)', 'prev_period_revenue')} AS pop_pct FROM p""")
 def kpi03_product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpis.product_revenue(star(spark, sf_dir))
+    return kpis.in_order("kpi03", kpis.product_revenue(star(spark, sf_dir)))
 
 
 @query(f"""WITH {STAR_SQL}, l AS (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY txn_ts DESC, transaction_id DESC, product_id DESC) AS rn FROM ok)
@@ -101,7 +101,7 @@ SELECT c.customer_id, c.account_id, l.txn_ts AS last_txn_ts, p.product_type,
 FROM dim_customer c LEFT JOIN l ON l.account_id = c.account_id AND rn = 1 LEFT JOIN dim_product p ON p.product_id = l.product_id
 WHERE c.is_current AND (l.txn_ts IS NULL OR l.txn_ts < TIMESTAMP '{AS_OF}' - INTERVAL 90 DAY)""")
 def kpi04_dormant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpis.dormant_accounts(star(spark, sf_dir), AS_OF)
+    return kpis.in_order("kpi04", kpis.dormant_accounts(star(spark, sf_dir), AS_OF))
 
 
 def event_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +123,7 @@ SELECT transaction_id, account_id, branch_id, txn_ts, amount, status, txns_last_
   concat_ws('; ', CASE WHEN amount > 100000 THEN 'HIGH_VALUE' END, CASE WHEN txns_last_10m >= 3 THEN 'VELOCITY_3_IN_10M' END, CASE WHEN hour(txn_ts) < 5 THEN 'NIGHT_00_05' END) AS risk_reason
 FROM s WHERE amount > 100000 OR txns_last_10m >= 3 OR hour(txn_ts) < 5""")
 def kpi05_suspicious(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpis.suspicious(event_facts(spark, sf_dir))
+    return kpis.in_order("kpi05", kpis.suspicious(event_facts(spark, sf_dir)))
 
 
 RFM_SQL = f"""rfm AS (SELECT account_id, date_diff('day', max(txn_ts), TIMESTAMP '{AS_OF}') AS recency_days, count(*) AS frequency, sum(signed)::BIGINT AS monetary FROM ok GROUP BY 1),
@@ -136,7 +136,7 @@ SELECT c.customer_id, sc.account_id, recency_days, frequency, monetary, rfm_scor
   CASE WHEN rfm_score >= 8 THEN 'Platinum' WHEN rfm_score >= 6 THEN 'Gold' WHEN rfm_score = 5 THEN 'Silver' ELSE 'Bronze' END AS segment
 FROM sc LEFT JOIN dim_customer c ON c.account_id = sc.account_id AND c.is_current""")
 def kpi06_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpis.rfm_segments(star(spark, sf_dir), AS_OF)
+    return kpis.in_order("kpi06", kpis.rfm_segments(star(spark, sf_dir), AS_OF))
 
 
 BRANCH_RANK_SQL = f"""WITH {STAR_SQL}, n AS (SELECT region, ok.branch_id, branch_name, sum(signed)::BIGINT AS net_volume, count(*) AS txn_count
@@ -148,7 +148,7 @@ r AS (SELECT *, rank() OVER (PARTITION BY region ORDER BY net_volume DESC)::INTE
 @query(f"""{BRANCH_RANK_SQL}
 SELECT region, branch_id, branch_name, net_volume, txn_count, rnk, dense_rnk, CASE WHEN rnk = 1 THEN 'TOP' WHEN up = 1 THEN 'BOTTOM' END AS performer_flag FROM r""")
 def kpi07_branch_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpis.branch_rank(star(spark, sf_dir))
+    return kpis.in_order("kpi07", kpis.branch_rank(star(spark, sf_dir)))
 
 
 @query(f"""WITH {STAR_SQL}, g AS (SELECT coalesce(kyc_status, 'UNKNOWN') AS kyc_status, count(*) AS txn_count, sum(amount)::BIGINT AS total_value
@@ -156,7 +156,7 @@ def kpi07_branch_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 t AS (SELECT *, (sum(txn_count) OVER ())::BIGINT AS n, (sum(total_value) OVER ())::BIGINT AS v FROM g)
 SELECT kyc_status, kyc_status <> 'Verified' AS is_not_verified, txn_count, total_value, {pct('txn_count', 'n')} AS pct_count, {pct('total_value', 'v')} AS pct_value FROM t""")
 def kpi08_kyc_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpis.kyc_exposure(star(spark, sf_dir))
+    return kpis.in_order("kpi08", kpis.kyc_exposure(star(spark, sf_dir)))
 
 
 @query(f"""WITH {STAR_SQL}, g AS (SELECT p.product_id, product_name, branch_id, count(*) AS total_count, count(*) FILTER (is_refund) AS refund_count,
@@ -165,7 +165,7 @@ def kpi08_kyc_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT product_id, product_name, branch_id, total_count, refund_count, {pct('refund_count', 'total_count')} AS refund_count_pct, total_value, refund_value,
   {pct('refund_value', 'total_value')} AS refund_value_pct FROM g""")
 def kpi09_refund_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpis.refund_rate(star(spark, sf_dir))
+    return kpis.in_order("kpi09", kpis.refund_rate(star(spark, sf_dir)))
 
 
 # Rows of line items that fail a check, by the first that they fail.
@@ -199,15 +199,13 @@ def line_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {CHECK_SQL} SELECT sc.batch_id, entity, source_file, received, passed, rejected, {pct('rejected', 'received')} AS reject_pct, top_reasons FROM sc JOIN tr USING (batch_id)")
 def kpi10_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpis.scorecard_rates(line_scorecard(spark, sf_dir))
+    return kpis.in_order("kpi10", kpis.scorecard_rates(line_scorecard(spark, sf_dir)))
 
 
 def batch_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """KPI 1 and 7 after the first batch and after both."""
+    """KPI 1 and 7 after the first batch and after both, from one pass over the facts."""
     s = star(spark, sf_dir)
-    early = sample.Star(s.fact.filter(F.col("first_batch_id") == BASELINE), s.customer, s.branch, s.product)
-    parts = [quality.snapshot(b, kpis.top_customers(x), kpis.branch_rank(x)) for b, x in ((BASELINE, early), (INCREMENTAL, s))]
-    return parts[0].unionByName(parts[1])
+    return kpis.snapshots(s.fact, s.branch, {BASELINE: F.col("first_batch_id") == BASELINE, INCREMENTAL: F.lit(True)})
 
 
 SNAP_SQL = "snap AS (" + " UNION ALL ".join(
@@ -239,13 +237,13 @@ def kpi11_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
         "batch_id", "fact_inserted", zero.alias("fact_updated"), zero.alias("fact_corrected"), F.coalesce("customers_new", zero).alias("customers_new"),
         F.coalesce("customers_changed", zero).alias("customers_changed"), zero.alias("products_changed"), zero.alias("branches_changed"),
     )
-    return kpis.reconciliation(changes, batch_snapshots(spark, sf_dir))
+    return kpis.in_order("kpi11", kpis.reconciliation(changes, batch_snapshots(spark, sf_dir)))
 
 
 @query(f"""WITH {CUSTOMER_SQL} SELECT customer_id, customer_name, st AS from_status, CASE st WHEN 'Verified' THEN 'Pending' ELSE 'Verified' END AS to_status, TIMESTAMP '{CUTOFF}' AS changed_on
 FROM cust WHERE moved""")
 def kpi12_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpis.kyc_transitions(sample.customers(spark, sf_dir))
+    return kpis.in_order("kpi12", kpis.kyc_transitions(sample.customers(spark, sf_dir)))
 
 
 @query(f"""WITH {STAR_SQL}
@@ -254,7 +252,7 @@ FROM (SELECT DISTINCT account_id FROM fact WHERE first_batch_id = '{INCREMENTAL}
 UNION ALL SELECT 'ONBOARDED_NO_TXN_DAY2', account_id, customer_id FROM cust WHERE late AND account_id NOT IN (SELECT account_id FROM fact)""")
 def kpi13_activation(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = star(spark, sf_dir)
-    return kpis.activation(s.fact, s.customer, BASELINE, INCREMENTAL, CUTOFF)
+    return kpis.in_order("kpi13", kpis.activation(s.fact, s.customer, BASELINE, INCREMENTAL, CUTOFF))
 
 
 # ---------------------------------------------------------------- rules and normalisers
@@ -384,7 +382,7 @@ def dedup_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'C' || k AS customer_id, account_id FROM w WHERE n > 1 AND 'A' || k <> account_id""")
 def account_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
-    rows = read(spark, sf_dir, "customer").select(F.concat(F.lit("C"), k).alias("customer_id"), F.concat(F.lit("A"), k - k % 3).alias("account_id"), F.lit(None).cast("struct<rule_id:string,error_code:string,error_detail:string>").alias("first_error"))
+    rows = read(spark, sf_dir, "customer").select(F.concat(F.lit("C"), k).alias("customer_id"), F.concat(F.lit("A"), k - k % 3).alias("account_id"), k.alias("_src_row"), F.lit(None).cast("struct<rule_id:string,error_code:string,error_detail:string>").alias("first_error"))
     return entities.shared_accounts(rows).filter("first_error IS NOT NULL").select("customer_id", "account_id")
 
 
@@ -400,6 +398,29 @@ def semi_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pit.known(read(spark, sf_dir, "lineitem"), dim, "l_partkey", "l_partkey").groupBy("l_suppkey").agg(F.count("*").alias("n"))
 
 
+# ---------------------------------------------------------------- the four cleansing chains
+
+
+@query(cleansing_samples.CUSTOMERS_SQL)
+def cleanse_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleansing_samples.customers(read(spark, sf_dir, "customer"))
+
+
+@query(cleansing_samples.BRANCHES_SQL)
+def cleanse_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleansing_samples.branches(read(spark, sf_dir, "supplier"))
+
+
+@query(cleansing_samples.PRODUCTS_SQL)
+def cleanse_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleansing_samples.products(read(spark, sf_dir, "part"))
+
+
+@query(cleansing_samples.TRANSACTIONS_SQL)
+def cleanse_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleansing_samples.transactions(read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer"), read(spark, sf_dir, "part"), read(spark, sf_dir, "supplier"))
+
+
 # ---------------------------------------------------------------- dimensions and facts
 
 
@@ -525,7 +546,8 @@ def range_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {STAR_SQL}, {RFM_SQL} SELECT account_id, CASE WHEN m < 1.0::DOUBLE / 3 THEN 1 WHEN m < 2.0::DOUBLE / 3 THEN 2 ELSE 3 END AS tertile FROM pr""")
 def percent_rank_tertile(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = kpis.successes(sample.raw_facts(spark, sf_dir)).groupBy("account_id").agg(kpis.net().alias("monetary"))
-    return rows.select("account_id", kpis.tertile(F.asc("monetary")).alias("tertile"))
+    rows = rows.withColumnRenamed("monetary", "value")
+    return rows.join(kpis.tertiles(rows, []), "value").select("account_id", "tertile")
 
 
 @query("""SELECT s_suppkey, (rank() OVER w)::INTEGER AS rnk, (dense_rank() OVER w)::INTEGER AS dense_rnk FROM supplier

@@ -13,17 +13,13 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) ->
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
-def replace_batch(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    """Replace the partitions of the batches in rows and leave the others, by dynamic partition overwrite."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """One file with a header; for results that a person reads, which are small."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def create_views(frames: dict[str, DataFrame]) -> None:
+    """Temporary views by name. A view keeps its frame's plan, so it shows what the tables held when the frame was made."""
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
 
@@ -48,15 +44,20 @@ def _bars(df: DataFrame, label: str, value: str, most: int) -> str:
 
 
 def _lines(df: DataFrame, series: str, x: str, y: str, most: int) -> str:
-    rows = df.select(F.col(series).cast("string"), F.col(x).cast("string"), F.col(y).cast("double")).orderBy(series, x).limit(most * 100).collect()
-    xs = sorted({r[1] for r in rows if r[1] is not None})
-    place, top = {k: 460 * i / max(1, len(xs) - 1) for i, k in enumerate(xs)}, max((r[2] or 0 for r in rows), default=0) or 1
-    names = sorted({r[0] for r in rows if r[0] is not None})[:most]
+    """The `most` series of largest total, each whole; the page says how many others there are."""
+    totals = df.groupBy(series).agg(F.sum(F.abs(F.col(y).cast("double"))).alias("_total"))
+    first = totals.orderBy(F.desc_nulls_last("_total"), series).limit(most)
+    rows = df.join(F.broadcast(first.select(F.col(series).alias("_series"))), F.col(series) == F.col("_series")).groupBy(F.col(series).cast("string").alias("s"), F.col(x).cast("string").alias("x")).agg(F.sum(F.col(y).cast("double")).alias("y"))
+    found = rows.orderBy("s", "x").collect()  # one row per period of `most` series
+    xs = sorted({r[1] for r in found if r[1] is not None})
+    place, top = {k: 460 * i / max(1, len(xs) - 1) for i, k in enumerate(xs)}, max((r[2] or 0 for r in found), default=0) or 1
+    names = sorted({r[0] for r in found})
     shapes = []
     for i, name in enumerate(names):
-        points = " ".join(f"{place[r[1]]:.1f},{200 - 190 * (r[2] or 0) / top:.1f}" for r in rows if r[0] == name and r[1] in place)
+        points = " ".join(f"{place[r[1]]:.1f},{200 - 190 * (r[2] or 0) / top:.1f}" for r in found if r[0] == name and r[1] in place)
         shapes.append(f'<polyline fill="none" stroke="hsl({i * 360 // max(1, len(names))},60%,40%)" points="{points}"><title>{html.escape(name)}</title></polyline>')
-    return f'<svg width="480" height="210">{"".join(shapes)}</svg>'
+    rest = totals.count() - len(names)
+    return f'<svg width="480" height="210">{"".join(shapes)}</svg>' + (f"<p>{rest} smaller series are not shown</p>" if rest > 0 else "")
 
 
 def dashboard(title: str, tiles: dict[str, object], tables: dict[str, DataFrame], bars: dict[str, tuple[DataFrame, str, str]] | None = None, lines: dict[str, tuple[DataFrame, str, str, str]] | None = None, most: int = 50) -> str:
