@@ -63,6 +63,101 @@ def test_what_is_no_image_is_refused(data):
         webp.decode(data)
 
 
+# ---- streams written by hand from the format's description: (value, bits), lowest bit first; the encoder has no part in them
+
+
+def file_of(width, height, *fields):
+    value = size = 0
+    for v, n in [(0x2F, 8), (width - 1, 14), (height - 1, 14), (1, 1), (0, 3), *fields]:
+        value, size = value | v << size, size + n
+    data = value.to_bytes(-(-size // 8), "little")
+    chunk = b"VP8L" + len(data).to_bytes(4, "little") + data + b"\0" * (len(data) % 2)
+    return b"RIFF" + (len(chunk) + 4).to_bytes(4, "little") + b"WEBP" + chunk
+
+
+def simple(*symbols):
+    """A simple prefix code of one or two symbols of eight bits; of two, the smaller one is bit 0."""
+    return [(1, 1), (len(symbols) - 1, 1), (1, 1), *[(s, 8) for s in symbols]]
+
+
+NO_DISTANCE = [(1, 1), (0, 1), (0, 1), (0, 1)]
+NONE, PLAIN = [(0, 1)], [(0, 1), (0, 1)]  # no (further) transform; neither cache nor meta codes
+#: A normal code whose lengths are written with two codes: 0 says length 1, and 1 says a run of 11 zeros and seven bits more.
+LENGTHS = [(0, 1), (0, 4), (0, 3), (1, 3), (0, 3), (1, 3)]
+
+
+def zeros(n):
+    return [(1, 1), (n - 11, 7)]
+
+
+def pixels_of(data):
+    return [f"{x:08x}" for x in webp.decode(data).ravel().tolist()]
+
+
+def test_literals_by_hand():
+    codes = [*simple(10, 20), *simple(200), *simple(5), *simple(255), *NO_DISTANCE]
+    assert pixels_of(file_of(3, 1, *NONE, *PLAIN, *codes, (0, 1), (1, 1), (0, 1))) == ["ffc80a05", "ffc81405", "ffc80a05"]
+
+
+def test_back_references_by_hand():
+    # Green 20 is bit 0 and length symbol 258, three pixels, is bit 1; the only distance is code 2, the pixel on the left.
+    green = [*LENGTHS, (0, 1), *zeros(20), (0, 1), *zeros(138), *zeros(99), (0, 1), *zeros(21)]
+    left = [(1, 1), (0, 1), (0, 1), (1, 1)]
+    assert pixels_of(file_of(4, 1, *NONE, *PLAIN, *green, *simple(200), *simple(5), *simple(255), *left, (0, 1), (1, 1))) == ["ffc81405"] * 4
+    # Red 1 or 2 takes the way pixel by pixel: a pixel, another, and three from the left of the last.
+    got = pixels_of(file_of(5, 1, *NONE, *PLAIN, *green, *simple(1, 2), *simple(5), *simple(255), *left, (0, 1), (0, 1), (0, 1), (1, 1), (1, 1)))
+    assert got == ["ff011405", "ff021405", "ff021405", "ff021405", "ff021405"]
+
+
+def test_colour_cache_by_hand():
+    # A cache of two colours; (0x1e35a7bd * 0xffc81405) mod 2^32 = 0x16cf0ab1, whose top bit tells the slot.
+    assert 0x1E35A7BD * 0xFFC81405 % 2**32 >> 31 == 0
+    green = [*LENGTHS, (1, 1), (0, 3), (3, 2), *zeros(20), (0, 1), *zeros(138), *zeros(121), (0, 1)]
+    got = pixels_of(file_of(3, 1, *NONE, (1, 1), (1, 4), (0, 1), *green, *simple(200), *simple(5), *simple(255), *NO_DISTANCE, (0, 1), (1, 1), (1, 1)))
+    assert got == ["ffc81405"] * 3
+
+
+def test_subtract_green_by_hand():
+    codes = [*simple(20), *simple(10), *simple(250), *simple(255), *NO_DISTANCE]
+    assert pixels_of(file_of(1, 1, (1, 1), (2, 2), *NONE, *PLAIN, *codes)) == ["ff1e140e"]
+
+
+def test_predictors_by_hand():
+    # Four pixels of residue 01010101: black, left and top are fixed; the last has L = T = TR = 01020202 and TL = 00010101.
+    last = dict.fromkeys(range(14), "02030303") | {0: "00010101", 4: "01020202", 6: "01020202", 8: "01020202", 10: "01020202", 12: "03040404"}
+    for mode, want in last.items():
+        modes = [(0, 1), *simple(mode), *simple(0), *simple(0), *simple(0), *NO_DISTANCE]
+        residue = [*simple(1), *simple(1), *simple(1), *simple(1), *NO_DISTANCE]
+        assert pixels_of(file_of(2, 2, (1, 1), (0, 2), (0, 3), *modes, *NONE, *PLAIN, *residue)) == ["00010101", "01020202", "01020202", want], mode
+
+
+def test_cross_colour_by_hand():
+    # Green to red 16, green to blue 64, red to blue 32: red 100 + 16 * 64 / 32, blue 50 + 64 * 64 / 32 + 32 * -124 / 32.
+    element = [(0, 1), *simple(64), *simple(32), *simple(16), *simple(255), *NO_DISTANCE]
+    assert pixels_of(file_of(1, 1, (1, 1), (1, 2), (0, 3), *element, *NONE, *PLAIN, *simple(64), *simple(100), *simple(50), *simple(255), *NO_DISTANCE)) == ["ff844036"]
+
+
+def test_palette_by_hand():
+    # Two colours, the second as a difference; eight indices share a byte of green, the first in the lowest bit.
+    table = [(0, 1), *simple(1, 11), *simple(1, 10), *simple(1, 12), *simple(0, 255), *NO_DISTANCE, *[(1, 1)] * 4, *[(0, 1)] * 4]
+    image = [*simple(2, 141), *simple(0), *simple(0), *simple(0), *NO_DISTANCE, (1, 1), (0, 1)]
+    got = pixels_of(file_of(10, 1, (1, 1), (3, 2), (1, 8), *table, *NONE, *PLAIN, *image))
+    assert got == [("ff0a0b0c", "ff0b0c0d")[i] for i in (1, 0, 1, 1, 0, 0, 0, 1, 0, 1)]
+
+
+def test_repeats_are_references_and_few_values_a_palette():
+    draw = np.random.default_rng(5)
+    for k in range(60):
+        piece = draw.integers(0, int(draw.integers(2, 256)), int(draw.integers(1, 300))).astype(np.uint8).tobytes()
+        payload = piece * int(draw.integers(1, 20)) + bytes(int(draw.integers(0, 6000))) + piece[::-1] + piece
+        payload += b"\0" * (-len(payload) % 64)
+        assert media.decode_payload(media.encode_payload(payload)).tobytes() == payload
+    once = draw.integers(0, 256, 4096).astype(np.uint8).tobytes()
+    assert webp.long_matches(np.frombuffer(once, np.uint8)) == []
+    assert webp.long_matches(np.frombuffer(once + once, np.uint8)) == [(4096, 4096, 4096)]
+    assert len(media.encode_payload(once + once)) < len(media.encode_payload(once)) + 64 and len(media.encode_payload(b"ab" * 32)) < 64
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(max_size=400))
 def test_any_text_comes_back(text):

@@ -24,6 +24,8 @@ WIDTH = 64
 IMAGE_BYTES = WIDTH * webp.MAX_SIDE
 #: Compressed bytes of media that are decoded at once.
 READ_BYTES = 64_000
+#: The most values whose palette indices share a pixel.
+PACKED = 16
 
 
 def payload_of(text: str | None) -> bytes:
@@ -32,11 +34,18 @@ def payload_of(text: str | None) -> bytes:
 
 
 def encode_payload(payload: bytes) -> bytes:
-    """The payload as grey pixels; grey minus green leaves red and blue constant, so that only green is coded."""
+    """The payload as grey pixels, in the form that takes the fewest bytes for its kind.
+
+    Of up to 16 values a palette packs two to eight pixels into one. Otherwise grey minus green leaves red and blue
+    constant, so that only green is coded, and stretches that repeat earlier ones are back-references. Predictors,
+    cross-colour and the colour cache do not make text smaller; the reader knows them all.
+    """
     files = []
     for at in range(0, len(payload), IMAGE_BYTES):
-        grey = np.frombuffer(payload[at : at + IMAGE_BYTES], np.uint8).astype(np.uint32).reshape(-1, WIDTH)
-        files.append(webp.encode(webp.BLACK | grey * np.uint32(0x010101), subtract_green=True))
+        data = np.frombuffer(payload[at : at + IMAGE_BYTES], np.uint8)
+        pixels = webp.BLACK | data.astype(np.uint32).reshape(-1, WIDTH) * np.uint32(0x010101)
+        few = np.count_nonzero(np.bincount(data, minlength=256)) <= PACKED
+        files.append(webp.encode(pixels, palette=True, repeats=True) if few else webp.encode(pixels, subtract_green=True, repeats=True))
     return b"".join(files)
 
 

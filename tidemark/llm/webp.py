@@ -3,8 +3,8 @@
 Pixels are uint32 arrays of ARGB, by row. The decoder reads prefix codes (one group or a meta image of groups),
 back-references with the plane distance codes and the colour cache, and inverts the predictor, cross-colour,
 subtract-green and palette transforms. Images with a single prefix group, no cache and literals that vary in green
-only take a vectorised way: the code at every bit position is looked up at once and the chain of positions is
-followed by pointer doubling.
+only take a vectorised way: what the bits at every position would mean, a literal or a whole back-reference, is looked
+up at once, the chain of positions is followed by pointer doubling, and back-references are copied in order.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import numpy as np
 PREDICTOR, CROSS_COLOUR, SUBTRACT_GREEN, PALETTE = range(4)
 LENGTH_ORDER = (17, 18, 0, 1, 2, 3, 4, 5, 16, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15)
 MAX_SIDE = 16384
+MAX_COPY = 4096
 MAX_BITS = 15
 BLACK = np.uint32(0xFF000000)
 
@@ -282,6 +283,68 @@ def _chain(data: bytes, start_bit: int, code: PrefixCode, n: int) -> tuple[np.nd
     return code.symbols.astype(np.uint32)[at[places]], 8 * first + last + int(code.sizes[at[last]])
 
 
+def _token_chain(data: bytes, start_bit: int, green: PrefixCode, distance: PrefixCode, n: int, width: int) -> tuple[np.ndarray, int]:
+    """n green values from literals and back-references of one prefix group, and the bit after them."""
+    first = start_bit // 8
+    raw = np.concatenate([np.frombuffer(data, np.uint8, offset=first), np.zeros(8, np.uint8)]).astype(np.uint64)
+    window = raw[:-7] | raw[1:-6] << np.uint64(8) | raw[2:-5] << np.uint64(16) | raw[3:-4] << np.uint64(24) | raw[4:-3] << np.uint64(32)
+    end = 8 * (len(window) - 1)
+
+    def bits(at: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+        at = np.minimum(at, end)
+        return ((window[at >> 3] >> (at & 7).astype(np.uint64)) & ((np.uint64(1) << np.asarray(size, np.uint64)) - np.uint64(1))).astype(np.int64)
+
+    def meant(symbol: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values of length or distance symbols whose extra bits begin at `at`, and where these end."""
+        extra = np.where(symbol < 4, 0, (symbol - 2) >> 1)
+        return np.where(symbol < 4, symbol + 1, ((2 + (symbol & 1)) << extra) + bits(at, extra) + 1), at + extra
+
+    place = ((window[:, None].astype(np.uint32) >> np.arange(8, dtype=np.uint32)) & np.uint32((1 << green.bits) - 1)).ravel()
+    symbols = green.symbols[place].astype(np.int32)
+    step = green.sizes[place].astype(np.int32)
+    copies = np.flatnonzero(symbols >= 256)
+    length, at = meant(symbols[copies].astype(np.int64) - 256, copies + step[copies])
+    if distance.only is None:
+        own = bits(at, distance.bits)
+        code, at = meant(distance.symbols[own], at + distance.sizes[own])
+    else:
+        code, at = meant(np.full(len(copies), distance.only, np.int64), at)
+    step[copies] = at - copies
+    jumps = [np.minimum(np.arange(len(step), dtype=np.int32) + step, len(step) - 1)]
+    for _ in range(4):
+        jumps.append(jumps[-1][jumps[-1]])
+    wide, here, last = jumps[4].item, [start_bit - 8 * first], len(step) - 1
+    for _ in range(-(-n // 16) - 1):
+        here.append(wide(here[-1]))
+        if here[-1] == last:
+            break
+    tokens = np.array(here, np.int32)
+    for k in range(3, -1, -1):
+        tokens = np.stack([tokens, jumps[k][tokens]], 1).ravel()
+    found = symbols[tokens]
+    is_copy = found >= 256
+    of_copy = np.searchsorted(copies, tokens[is_copy])
+    sizes = np.ones(len(tokens), np.int64)
+    sizes[is_copy] = length[of_copy]
+    ends = np.cumsum(sizes)
+    count = int(np.searchsorted(ends, n)) + 1
+    if count > len(tokens) or ends[count - 1] != n:
+        raise ValueError("a back-reference leaves the image")
+    starts = (ends - sizes)[:count]
+    out = np.zeros(n, np.uint32)
+    literal = ~is_copy[:count]
+    out[starts[literal]] = found[:count][literal]
+    planes = plane_codes()
+    chosen = of_copy[: int(is_copy[:count].sum())]
+    for to, size, c in zip(starts[~literal].tolist(), length[chosen].tolist(), code[chosen].tolist(), strict=True):
+        back = c - 120 if c > 120 else max(1, planes[c - 1][0] + planes[c - 1][1] * width)
+        if back > to:
+            raise ValueError("a back-reference leaves the image")
+        out[to : to + size] = out[to - back : to - back + size] if back >= size else np.resize(out[to - back : to], size)
+    final = int(tokens[count - 1])
+    return out, 8 * first + final + int(step[final])
+
+
 def _value(r: BitReader, symbol: int) -> int:
     """Of a length or distance symbol and its extra bits."""
     if symbol < 4:
@@ -304,9 +367,9 @@ def _pixels(r: BitReader, width: int, height: int, main: bool) -> np.ndarray:
         groups = max(group_of) + 1
     sizes = (256 + 24 + (1 << cache_bits if cache_bits else 0), 256, 256, 256, 40)
     codes = [[PrefixCode.load(r, s) for s in sizes] for _ in range(groups)]
-    if groups == 1 and not cache_bits and all(c.only is not None for c in codes[0][1:4]) and codes[0][0].most < 256:
-        green, red, blue, alpha = codes[0][:4]
-        symbols, end = _chain(r.data, r.read_bits, green, n)
+    if groups == 1 and not cache_bits and all(c.only is not None for c in codes[0][1:4]) and (codes[0][0].only is None or codes[0][0].only < 256):
+        green, red, blue, alpha, distance = codes[0]
+        symbols, end = _chain(r.data, r.read_bits, green, n) if green.most < 256 else _token_chain(r.data, r.read_bits, green, distance, n, width)
         r.skip_to(end)
         return symbols << np.uint32(8) | np.uint32(red.only << 16 | blue.only | alpha.only << 24)
     out = [0] * n
@@ -524,7 +587,64 @@ def _references(p: list[int], width: int) -> list[tuple[int, int]]:
     return out
 
 
-def _write_pixels(w: BitWriter, p: np.ndarray, width: int, main: bool, references: bool = False, cache_bits: int = 0, groups: np.ndarray | None = None, block: int = 2) -> bytes | None:
+def long_matches(data: np.ndarray, least: int = 16) -> list[tuple[int, int, int]]:
+    """(start, length, distance) of stretches of `least` bytes or more that repeat earlier ones, in order, without overlap.
+
+    Every window of eight bytes looks up its last occurrence; windows in a row at one distance are one stretch.
+    """
+    n = len(data) - 7
+    if n <= least:
+        return []
+    keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, 8)).view("<u8").ravel()
+    order = np.argsort(keys, kind="stable")
+    same = keys[order[1:]] == keys[order[:-1]]
+    if not same.any():
+        return []
+    distance = np.zeros(n, np.int64)
+    distance[order[1:][same]] = (order[1:] - order[:-1])[same]
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(distance)) + 1, [n]])
+    out, free = [], 0
+    worth = np.flatnonzero((distance[edges[:-1]] > 0) & (np.diff(edges) + 7 >= least))
+    for a, b, d in zip(edges[worth].tolist(), edges[worth + 1].tolist(), distance[edges[worth]].tolist(), strict=True):
+        a, b = max(a, free), b + 7
+        while b - a >= least:
+            size = min(b - a, MAX_COPY)
+            out.append((a, size, d))
+            a += size
+            free = a
+    return out
+
+
+def _write_matches(w: BitWriter, p: np.ndarray, green: np.ndarray, matches: list[tuple[int, int, int]]) -> bytes:
+    """End the stream with an image of one group whose literals vary in green only, and whose `matches` are back-references."""
+    covered = np.zeros(len(green) + 1, np.int64)
+    starts = np.array([m[0] for m in matches])
+    covered[starts] += 1
+    covered[starts + np.array([m[1] for m in matches])] -= 1
+    at = np.flatnonzero(np.cumsum(covered[:-1]) == 0)
+    lengths, distances = ([_split_value(v) for v in vs] for vs in ([m[1] for m in matches], [m[2] + 120 for m in matches]))
+    counts = np.bincount(green[at], minlength=280) + np.bincount([256 + x[0] for x in lengths], minlength=280)
+    far = np.bincount([x[0] for x in distances], minlength=40)
+    sizes, far_sizes = code_lengths(counts, 12), code_lengths(far, 12)
+    codes, far_codes = canonical_codes(sizes), canonical_codes(far_sizes)
+    write_code(w, sizes, counts)
+    for s in (16, 0, 24):
+        w.write(0b101 | (int(p[0] >> np.uint32(s)) & 255) << 3, 11)
+    write_code(w, far_sizes, far)
+    # Each back-reference is five pieces of up to 15 bits; pieces and literals go out by their place.
+    pieces = [
+        (int(codes[256 + s]), int(sizes[256 + s]), extra, n, int(far_codes[t]), int(far_sizes[t]), far_extra & 0x3FFF, min(m, 14), far_extra >> 14, max(m - 14, 0))
+        for (s, extra, n), (t, far_extra, m) in zip(lengths, distances, strict=True)
+    ]
+    grid = np.array(pieces, np.int64).reshape(-1, 5, 2)
+    places = np.concatenate([at, np.repeat(starts, 5)])
+    values = np.concatenate([codes[green[at]], grid[:, :, 0].ravel()])
+    widths = np.concatenate([sizes[green[at]], grid[:, :, 1].ravel()])
+    order = np.argsort(places, kind="stable")
+    return w.extend(values[order], widths[order])
+
+
+def _write_pixels(w: BitWriter, p: np.ndarray, width: int, main: bool, references: bool = False, cache_bits: int = 0, groups: np.ndarray | None = None, block: int = 2, repeats: bool = False) -> bytes | None:
     """Write an entropy-coded image. A plain one with literals in green only ends the stream and returns its bytes."""
     w.write(bool(cache_bits) | cache_bits << 1, 5 if cache_bits else 1)
     if main:
@@ -536,6 +656,9 @@ def _write_pixels(w: BitWriter, p: np.ndarray, width: int, main: bool, reference
     sizes = (280 + (1 << cache_bits if cache_bits else 0), 256, 256, 256, 40)
     if main and groups is None and not references and not cache_bits and not np.any((p ^ p[0]) & np.uint32(0xFFFF00FF)):
         green = ((p >> np.uint32(8)) & np.uint32(255)).astype(np.uint8)
+        matches = long_matches(green) if repeats else []
+        if matches:
+            return _write_matches(w, p, green, matches)
         counts = np.bincount(green, minlength=280)
         lengths = code_lengths(counts, 12)  # small tables decode faster
         write_code(w, lengths, counts)
@@ -579,11 +702,12 @@ def _write_pixels(w: BitWriter, p: np.ndarray, width: int, main: bool, reference
     return None
 
 
-def encode(pixels: np.ndarray, predictor: np.ndarray | None = None, cross_colour: np.ndarray | None = None, subtract_green: bool = False, palette: bool = False, references: bool = False, cache_bits: int = 0, groups: np.ndarray | None = None, block: int = 2) -> bytes:
+def encode(pixels: np.ndarray, predictor: np.ndarray | None = None, cross_colour: np.ndarray | None = None, subtract_green: bool = False, palette: bool = False, references: bool = False, cache_bits: int = 0, groups: np.ndarray | None = None, block: int = 2, repeats: bool = False) -> bytes:
     """A lossless WebP file of ARGB pixels (height x width).
 
-    predictor: modes by block; cross_colour: ARGB elements by block; groups: prefix groups by block. Transforms are
-    applied in the order palette, predictor, cross-colour, subtract-green.
+    predictor: modes by block; cross_colour: ARGB elements by block; groups: prefix groups by block; references: greedy
+    back-references from 4 pixels on; repeats: long ones, where only green varies. Transforms are applied in the order
+    palette, predictor, cross-colour, subtract-green.
     """
     height, width = pixels.shape
     p, across = pixels.astype(np.uint32).ravel(), width
@@ -621,6 +745,6 @@ def encode(pixels: np.ndarray, predictor: np.ndarray | None = None, cross_colour
         g = (p >> np.uint32(8)) & np.uint32(255)
         p = (p & np.uint32(0xFF00FF00)) | (((p | np.uint32(0xFF00FF00)) - (g << np.uint32(16) | g)) & np.uint32(0xFF00FF))
     w.write(0, 1)
-    data = _write_pixels(w, p, across, True, references, cache_bits, groups, block) or w.bytes()
+    data = _write_pixels(w, p, across, True, references, cache_bits, groups, block, repeats) or w.bytes()
     chunk = b"VP8L" + struct.pack("<I", len(data)) + data + b"\0" * (len(data) % 2)
     return b"RIFF" + struct.pack("<I", 4 + len(chunk)) + b"WEBP" + chunk
