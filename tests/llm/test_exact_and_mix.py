@@ -30,7 +30,7 @@ def test_exact_dedup_hard_rows(hard, empty):
 
 def test_cleared_rows_are_new(spark):
     df = spark.createDataFrame([(i, f"text {i % 60}") for i in range(100)], "doc_id long, text string")
-    got = exact_dedup.exact_dedup(df, F.col("doc_id") < 50, bucket_keys=10).collect()
+    got = exact_dedup.exact_dedup(df, F.col("doc_id") < 50, bucket_keys=10, tell_screened=True).collect()
     cleared = {r.doc_id for r in got if r.screened}
     assert cleared and all(i % 60 >= 50 for i in cleared) and all(r.keep_id == (r.doc_id + 60 if r.doc_id < 40 else r.doc_id) for r in got)
 

@@ -136,11 +136,12 @@ def _grouped(rows: DataFrame, buckets: int) -> DataFrame:
     return _bucketed(rows.groupBy("text_sha256").agg(F.max("doc_id").alias("top"), F.count("*").alias("n")), buckets)
 
 
-def exact_dedup(docs: DataFrame, in_snapshot: Column, id_col: str = "doc_id", text_col: str = "text", bucket_keys: int = BUCKET_KEYS, expected_rows: int | None = None) -> DataFrame:
-    """Per row: doc_id, keep_id, group_size, kept, text_sha256, screened.
+def exact_dedup(docs: DataFrame, in_snapshot: Column, id_col: str = "doc_id", text_col: str = "text", bucket_keys: int = BUCKET_KEYS, expected_rows: int | None = None, tell_screened: bool = False) -> DataFrame:
+    """Per row: doc_id, keep_id, group_size, kept, text_sha256 and, with tell_screened, screened.
 
     `in_snapshot` tells the snapshot's rows from the incoming batch; screened is true for incoming rows that the
-    filters cleared without reading the snapshot. The byte check groups rows of a digest by their whole text with
+    filters cleared without reading the snapshot. All rows meet what is known of their digests in one join, which Spark
+    can split where one text is very common. The byte check groups rows of a digest by their whole text with
     partial aggregation in each map task, so a group of any size arrives as one row per task.
     """
     total = docs.count() if expected_rows is None else expected_rows
@@ -162,14 +163,20 @@ def exact_dedup(docs: DataFrame, in_snapshot: Column, id_col: str = "doc_id", te
     texts = written(texts.withColumn("norm", F.when(F.count("*").over(Window.partitionBy("text_sha256")) > 1, F.col("norm"))), "texts")
     checked = texts.groupBy("text_sha256").agg(F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count("*").alias("n_texts"))
     clash = checked.filter("n_texts > 1").select("text_sha256")
-    cleared = screened.filter("NOT maybe").select("text_sha256", F.lit(True).alias("cleared"))
-    result = narrow.join(checked.filter("n_texts = 1").drop("n_texts"), "text_sha256", "left").select("text_sha256", "doc_id", "old", "keep_id", "group_size")
+    told = checked.filter("n_texts = 1").drop("n_texts")
+    if tell_screened:
+        cleared = screened.filter("NOT maybe").select("text_sha256", F.lit(None).cast(told.schema["keep_id"].dataType).alias("keep_id"), F.lit(None).cast("long").alias("group_size"), F.lit(True).alias("cleared"))
+        told = told.withColumn("cleared", F.lit(False)).unionByName(cleared).groupBy("text_sha256").agg(F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.max("cleared").alias("cleared"))
+    else:
+        told = told.withColumn("cleared", F.lit(False))
+    told = written(told, "told")
+    result = narrow.join(told, "text_sha256", "left").select("text_sha256", "doc_id", "old", "keep_id", "group_size", "cleared")
     if not clash.isEmpty():  # different texts of one digest are told apart by their bytes
-        apart = rows.join(clash, "text_sha256", "left_semi").join(texts, ["text_sha256", "norm"]).select("text_sha256", "doc_id", "old", "keep_id", "group_size")
+        apart = rows.join(clash, "text_sha256", "left_semi").join(texts, ["text_sha256", "norm"]).select("text_sha256", "doc_id", "old", "keep_id", "group_size", F.lit(False).alias("cleared"))
         result = result.join(clash, "text_sha256", "left_anti").union(apart)
-    result = result.join(cleared, "text_sha256", "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
+    told_too = [(~F.col("old") & F.coalesce("cleared", F.lit(False))).alias("screened")] if tell_screened else []
     return result.select(
         "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", (~F.col("old") & F.coalesce("cleared", F.lit(False))).alias("screened"),
+        F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", *told_too,
     )
