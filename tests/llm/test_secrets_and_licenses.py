@@ -36,6 +36,39 @@ def test_query_against_plain_scan(spark):
         assert r.base_sha256 == hashlib.sha256(",".join(shown).encode()).hexdigest() and set(shown) <= set(filter(None, r.spans.split(",")))
 
 
+def best_stretch(s, ratio):
+    """The largest sum of transitions over a stretch of 12 characters or more, by trying all."""
+    code = lambda c: secret_scan.ALPHABET.index(c) if c in secret_scan.ALPHABET else len(secret_scan.ALPHABET)
+    steps = [ratio[code(a)][code(b)] for a, b in zip(s, s[1:], strict=False)]
+    return max((sum(steps[i:j]) for i in range(len(s)) for j in range(i + 11, len(s))), default=float("-inf"))
+
+
+def test_random_spans_against_all_stretches(spark):
+    """What is reported as random holds a stretch above the threshold, and nothing that is left does; sample and planted keys."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    test = secret_scan.train(docs)
+    planted = [(10**6 + i, f"{('see ', 'path/to/', 'name=', 'deadbeefdeadbeef ')[i % 4]}{k}{('', ' end', '/local/share', '_configuration')[i // 4 % 4]}") for i, k in enumerate(secret_scan.random_strings(60, 8))]
+    docs = docs.union(spark.createDataFrame(planted, "doc_id long, text string"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    ratio, found = test.ratio.tolist(), 0
+    for r in secret_scan.scan_secrets(docs, test).collect():
+        text, spans = texts[r.doc_id] or "", [s.split(":") for s in r.spans.split(",") if s]
+        taken = [(int(a), int(b)) for k, a, b in spans if k != "random"]
+        mine = [(int(a), int(b)) for k, a, b in spans if k == "random"]
+        found += len(mine)
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{12,}", text):
+            if m.end() - m.start() > 400:
+                continue  # the plain way is cubic
+            cut = sorted([*taken, *mine])
+            rest = [(a, b) for a, b in zip([m.start(), *(e for _, e in cut)], [*(a for a, _ in cut), m.end()], strict=True)]
+            for a, b in rest:
+                a, b = max(a, m.start()), min(b, m.end())
+                assert b - a < 12 or best_stretch(text[a:b], ratio) <= test.threshold + 1e-9, text[a:b]
+        for a, b in mine:
+            assert best_stretch(text[a:b], ratio) > test.threshold - 1e-9
+    assert found >= 40
+
+
 def test_random_strings_are_told_from_identifiers():
     ordinary = [f"{a}_{b}" for a in ("customer", "account", "transaction", "international", "configuration") for b in ("identifier", "repository", "description", "validation", "environment", "processing")] * 10
     test = secret_scan.RandomnessTest(secret_scan.random_strings(3000), ordinary)
@@ -93,8 +126,11 @@ def test_licences(spark, hard, empty):
     docs = [
         (1, mit), (2, "Copyright (c) 2020 Somebody\n" + mit.upper()), (3, mit.replace("sublicense", "sub-license").replace('"', "”").replace("\n\n", "\n  \n")), (4, mit + " more"),
         (5, "Some text.\nReleased under the MIT Licence.\nEnd.\n  released under  the MIT license"), (6, None), (7, ""), (7, ""),
+        (8, "Released under the MIT License."), (8, "Released under the MIT License."), (8, "released under the MIT licence\nReleased under the MIT License."), (None, "Released under\nthe MIT License."), (None, "Released under the MIT License."),
     ]
-    got = sorted((r.doc_id, r.license_id, r.notice_lines, r.notice_ids) for r in licenses.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    got = sorted((r.doc_id, r.license_id, r.notice_lines, r.notice_ids) for r in licenses.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect() if r.doc_id is not None and r.doc_id < 8)
+    each = licenses.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).filter("doc_id IS NULL OR doc_id = 8").collect()
+    assert sorted((r.doc_id or 0, r.notice_lines, r.notice_ids) for r in each) == [(0, 0, ""), (0, 1, "MIT-grant"), (8, 1, "MIT-grant"), (8, 1, "MIT-grant"), (8, 2, "MIT-grant")]
     assert [(i, x) for i, x, *_ in got] == [(1, "MIT"), (2, "MIT"), (3, "MIT"), (4, None), (5, None), (6, None), (7, None), (7, None)]
     assert got[4][2:] == (2, "MIT-grant")
     rows = licenses.scan_licenses(hard).collect()

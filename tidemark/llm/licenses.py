@@ -10,9 +10,8 @@ shuffled.
 
 The catalogue holds `KNOWN` and the whole texts of `license_files`; a text of another licence, or edited, matches nothing.
 
-Defined results: null or empty texts have the digest of the empty string and match nothing; repeated rows each get
-their own result row, and rows of one id (null is an id too) and one canonical text share the notices of all of them;
-an empty table gives an empty result; further columns are ignored.
+Defined results: null or empty texts have the digest of the empty string and match nothing; repeated rows, and rows
+that share an id (null is an id too), each get their own result row with the notices of their own text; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -114,14 +113,16 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     digests = known_digests(docs.sparkSession, known)
     small = digests if isinstance(known, DataFrame) else F.broadcast(digests)
     lines = docs.select(F.col(id_col).alias("doc_id"), canonical_lines(F.col(text_col)).alias("lines"), flowing(F.col(text_col)).alias("flow"))
-    lines = lines.select("doc_id", F.sha2(F.array_join("lines", " "), 256).alias("canonical_sha256"), F.posexplode(F.concat(F.array(F.array_join("lines", " "), "flow"), "lines")).alias("at", "line"))
+    # Rows that share all their lines are one group, counted; each line is counted once for every row of the group.
+    lines = lines.select("doc_id", F.xxhash64("lines", "flow").alias("tie"), F.sha2(F.array_join("lines", " "), 256).alias("canonical_sha256"), F.posexplode(F.concat(F.array(F.array_join("lines", " "), "flow"), "lines")).alias("at", "line"))
     found = lines.withColumn("d", F.when(F.col("at") == 0, F.col("canonical_sha256")).otherwise(F.sha2("line", 256))).drop("line")
     found = found.join(small, F.col("d") == F.col("license_digest"), "left")
     notice = (F.col("at") > 1) & F.col("license_id").isNotNull()
-    per_doc = found.groupBy("doc_id", "canonical_sha256").agg(
+    per_doc = found.groupBy("doc_id", "canonical_sha256", "tie").agg(
         F.coalesce(F.max(F.when(F.col("at") == 0, F.col("license_id"))), F.max(F.when(F.col("at") == 1, F.col("license_id")))).alias("license_id"),
         F.count_if(notice).alias("notice_lines"),
         F.array_join(F.array_sort(F.collect_set(F.when(notice, F.col("license_id")))), ",").alias("notice_ids"),
         F.count_if(F.col("at") == 0).alias("rows"),
     )
-    return per_doc.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows")))).drop("row", "rows")
+    per_doc = per_doc.withColumn("notice_lines", F.call_function("div", F.col("notice_lines"), F.col("rows")))
+    return per_doc.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows")))).drop("row", "rows", "tie")

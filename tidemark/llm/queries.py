@@ -37,7 +37,7 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the ids, by hash, stand for the published snapshot and the others for the incoming batch."""
-    return exact_dedup(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 2) == 0).drop("screened")
+    return exact_dedup(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 2) == 0)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,12 +144,12 @@ OP10_SQL = f"""
 WITH catalogue AS (SELECT id, {_lines_sql('t')} AS lines
   FROM (VALUES {', '.join(f'({_quoted(k)}, {_quoted(v)})' for k, v in sorted(KNOWN.items()))}) v(id, t)),
 known AS (SELECT sha256(array_to_string(lines, ' ')) AS d, min(id) AS license_id FROM catalogue WHERE len(lines) > 0 GROUP BY 1),
-docs AS (SELECT doc_id, {_lines_sql('text')} AS lines FROM documents),
-whole AS (SELECT doc_id, sha256(array_to_string(lines, ' ')) AS canonical_sha256 FROM docs),
-hits AS (SELECT doc_id, license_id FROM (SELECT doc_id, sha256(line) AS d FROM (SELECT doc_id, unnest(lines) AS line FROM docs)) JOIN known USING (d)),
-found AS (SELECT doc_id, count(*)::BIGINT AS notice_lines, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notice_ids FROM hits GROUP BY 1)
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_lines_sql('text')} AS lines FROM documents),
+whole AS (SELECT r, doc_id, sha256(array_to_string(lines, ' ')) AS canonical_sha256 FROM docs),
+hits AS (SELECT r, license_id FROM (SELECT r, sha256(line) AS d FROM (SELECT r, unnest(lines) AS line FROM docs)) JOIN known USING (d)),
+found AS (SELECT r, count(*)::BIGINT AS notice_lines, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notice_ids FROM hits GROUP BY 1)
 SELECT w.doc_id, canonical_sha256, k.license_id, coalesce(notice_lines, 0)::BIGINT AS notice_lines, coalesce(notice_ids, '') AS notice_ids
-FROM whole w LEFT JOIN known k ON w.canonical_sha256 = k.d LEFT JOIN found f ON w.doc_id IS NOT DISTINCT FROM f.doc_id
+FROM whole w LEFT JOIN known k ON w.canonical_sha256 = k.d LEFT JOIN found f ON w.r = f.r
 """
 
 ORACLE_SQL: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op5_mixing": OP5_SQL, "op10_license_scan": OP10_SQL}
