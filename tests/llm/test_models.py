@@ -37,6 +37,76 @@ def test_languages_hard_rows(hard, empty):
     assert language_id.filter_known(hard, profiles).count() == 10 and language_id.filter_known(hard, profiles).columns == hard.columns
 
 
+def plain_vector(text, cache):
+    """A text's bundle, letter by letter: each trigram of classes around a letter is the product of three rolled vectors."""
+    first, second, third = (v.astype(float) for v in language_id._vectors())
+    kinds, classes = language_id._letters(), [0]
+    for c in text or "":
+        k = int(kinds[ord(c)])
+        if k or classes[-1]:
+            classes.append(k)
+    if classes[-1]:
+        classes.append(0)
+    total = np.zeros(language_id.DIMENSION)
+    for gram in zip(classes, classes[1:], classes[2:], strict=False):
+        if gram[1]:
+            if gram not in cache:
+                cache[gram] = first[gram[0]] * second[gram[1]] * third[gram[2]]
+            total += cache[gram]
+    return total
+
+
+def test_language_query_against_plain_python(spark):
+    rows, cache = spark.read.parquet(f"{SF}/documents.parquet").collect(), {}
+    one = lambda v: v / (np.linalg.norm(v) or 1)
+    vectors = {r.doc_id: one(plain_vector(r.text, cache)) for r in rows}
+    sums = {}
+    for r in rows:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1 and any(map(str.isalpha, r.text or "")):
+            sums[r.lang] = sums.get(r.lang, 0) + vectors[r.doc_id]
+    texts = {r.doc_id: r.text for r in rows}
+    for r in QUERIES["op4_language_id"](spark, SF).collect():
+        near = {lang: float(one(v) @ vectors[r.doc_id]) for lang, v in sums.items()}
+        best = max(near.values())
+        if any(map(str.isalpha, texts[r.doc_id] or "")):
+            assert abs(near[r.lang_pred] - best) < 1e-5 and abs(r.score - (best + 1) / 2) < 1e-5
+        else:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+
+
+def test_binding_in_chunks(monkeypatch):
+    texts = ["Ab cd ef", "", "straße ñandú 漢字", "zzz yyy xxx"] * 3
+    whole = language_id.document_vectors(texts)[0]
+    monkeypatch.setattr(language_id, "KINDS", 5)
+    assert np.array_equal(language_id.document_vectors(texts)[0], whole)
+
+
+def test_toxicity_query_against_plain_python(spark):
+    """The query's model, run over each text word by word: sums of hashed vectors, every window, maxima, logistic layer."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    profiles = language_id.learn_profiles(docs, ~toxicity.held_out())
+    model = toxicity.ToxicityModel(profiles, *toxicity.training_sample(docs, labels, ~toxicity.held_out()))
+    texts, cnn = {r.doc_id: r.text or "" for r in docs.collect()}, model.cnn
+    for r in QUERIES["op8_toxicity"](spark, SF).collect():
+        words, _ = toxicity.features_of([texts[r.doc_id]])
+        vectors = cnn.table[words].astype(float).sum(1)
+        own = len(words) - toxicity.PAD
+        tops = [max(sum(float(vectors[j + k] @ cnn.kernels[i][k][:, f]) for k in range(w) if j + k < len(words)) for j in range(max(own, 1))) + cnn.offsets[i][f] for i, w in enumerate(toxicity.WIDTHS) for f in range(toxicity.FILTERS)] if own < 60 else None
+        if tops is None:
+            continue  # long texts take the plain way too long; they go through the same code
+        logit = float(np.maximum(tops, 0) @ cnn.weights.astype(float)) + float(cnn.bias)
+        lang = profiles.predict([texts[r.doc_id]])[0][0]
+        want = 1 / (1 + np.exp(-(logit - model.thresholds.get(lang, model.common) + np.log(0.3 / 0.7))))
+        assert abs(r.score - want) < 1e-3 and r.predicted == int(r.score >= 0.3)
+
+
+def test_long_texts_are_not_learned_from(spark):
+    docs = spark.createDataFrame([(i, "word " * (10 if i % 2 else 20_000)) for i in range(8)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i // 4) for i in range(8)], "doc_id long, toxic int")
+    texts, y = toxicity.training_sample(docs, labels, F.lit(True))
+    assert len(texts) == 4 and max(map(len, texts)) <= toxicity.SAMPLE_CHARS and y.tolist() == [0, 0, 1, 1]
+
+
 def test_toxicity_held_out(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
     rows = QUERIES["op8_toxicity"](spark, "/root/testdata/sf0.1").collect()

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from tests.llm.samples import SF
 
-from tidemark.llm import components, hashing, near_dedup
+from tidemark.llm import common, components, hashing, near_dedup
 from tidemark.llm.queries import QUERIES
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -75,6 +75,54 @@ def test_hard_rows(spark, hard, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_small_blocks_and_shared_ids(spark, monkeypatch):
+    """Many blocks a bucket, confirmed and screened; rows that share an id keep links of their own; nothing is left behind."""
+    draw = np.random.default_rng(7)
+    base = [[f"{c}{i}" for i in range(60)] for c in "xy"]
+    docs = []
+    for i in range(160):
+        words = list(base[i % 2])
+        for j in draw.choice(60, int(draw.integers(0, 8)), replace=False):
+            words[j] = f"v{draw.integers(0, 1000)}"
+        docs.append((i, " ".join(words)))
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 4_000)
+    monkeypatch.setattr(near_dedup, "BLOCK", 10)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 2).collect()}
+    assert got == brute(dict(docs), 2)
+    twice = [(1, "a b c d e f"), (5, "a b c d e f"), (5, "q r s t u v"), (7, "q r s t u v"), (7, "q r s t u v"), (9, "Q r s t u v")]
+    rows = near_dedup.near_duplicates(spark.createDataFrame(twice, "doc_id long, text string"), 2).collect()
+    assert sorted((r.doc_id, r.component_id) for r in rows) == [(1, 1), (5, 1), (5, 5), (7, 5), (7, 5), (9, 5)]
+    words = spark.createDataFrame([("b", "one two three"), ("a", "One two three")], "name string, body string")
+    assert {(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(words, 2, id_col="name", text_col="body").collect()} == {("a", "a"), ("b", "a")}
+
+
+def test_hashes_do_not_depend_on_pieces(monkeypatch):
+    texts = ["", " " * 50, "one two  three " * 40, "x" * 300, "a\tb" * 9, "last"]
+    whole = hashing.word_hashes(texts)
+    monkeypatch.setattr(hashing, "PIECE", 16)
+    cut = hashing.word_hashes(texts)
+    assert np.array_equal(whole[0], cut[0]) and np.array_equal(whole[1], cut[1])
+
+
+def test_a_shared_folder_is_needed_off_one_machine():
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:  # noqa: N801
+            master = "spark://somewhere:7077"
+
+            @staticmethod
+            def getConf():  # noqa: N802
+                return Conf()
+
+    with pytest.raises(ValueError):
+        common.shared_dir(Session())
+
+
 def test_estimates_follow_similarities():
     draw = np.random.default_rng(2)
     for share in (0.6, 0.8, 0.95):

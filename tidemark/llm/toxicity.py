@@ -28,7 +28,8 @@ BEGINNINGS = (4, 6, 8)
 PAD = max(WIDTHS)
 #: Bounds of the training sample, by label.
 TOXIC_SAMPLE, CLEAN_SAMPLE = 2_000, 4_000
-SLICE_BYTES = 1_000_000
+#: Longer texts are not learned from (all are scored whole); with the bounds above, the sample has 240 million characters at most.
+SAMPLE_CHARS = 40_000
 #: Where the calibrated thresholds come to lie.
 THRESHOLD = 0.3
 
@@ -202,15 +203,15 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(self._logits(texts) - cuts + at, -40, 40)))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, training: Column, toxic: int = TOXIC_SAMPLE, clean: int = CLEAN_SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[list[str], np.ndarray]:
-    """Texts and labels, at most about so many of either, chosen by hash of the id at rates from exact counts; of several labels of an id the largest holds."""
+def training_sample(docs: DataFrame, labels: DataFrame, training: Column, toxic: int = TOXIC_SAMPLE, clean: int = CLEAN_SAMPLE, longest: int = SAMPLE_CHARS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[list[str], np.ndarray]:
+    """Texts and labels, at most about so many of either, chosen by hash of the id at rates from exact counts, of up to `longest` characters; of several labels of an id the largest holds."""
     known = labels.filter(training & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y"))
     counts = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     rate = lambda y, most: int(1_000_000 * min(1.0, most / max(counts.get(y, 1), 1)))
     part = F.pmod(F.xxhash64(F.lit("toxic"), F.col("id").cast("string")), F.lit(1_000_000))
     chosen = known.filter(part < F.when(F.col("y") == 1, rate(1, toxic)).otherwise(rate(0, clean)))
     # About toxic + clean ids, whatever the size of the corpus; the documents are not shuffled for them.
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.coalesce(F.length("text"), F.lit(0)) <= longest).join(F.broadcast(chosen), "id")
     found = sorted((str(r.id), r.text or "", int(r.y)) for r in rows.collect())
     return [t for _, t, _ in found], np.array([y for _, _, y in found], np.int64)
 
@@ -224,7 +225,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
         score = shared.value.score([t or "" for t in batch.column(1).to_pylist()])
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64()), pa.array((score >= THRESHOLD).astype(np.int32), pa.int32())], ["doc_id", "score", "predicted"])
 
-    return map_texts(docs.select(id_col, text_col), run, f"doc_id {id_type}, score double, predicted int", SLICE_BYTES)
+    return map_texts(docs.select(id_col, text_col), run, f"doc_id {id_type}, score double, predicted int")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
