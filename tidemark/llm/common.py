@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 #: Bytes of text that Python code handles at once; bounds a worker's memory whatever the batch's row count.
 SLICE_BYTES = 1_000_000
 #: Rows and bytes of one Arrow batch between the JVM and Python; Spark's own defaults would hold 64 MB twice over.
-BATCH_ROWS, BATCH_BYTES = 4_000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ASCII_LOWER = str.maketrans(UPPER, LOWER)

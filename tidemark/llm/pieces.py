@@ -26,7 +26,8 @@ from sentencepiece import sentencepiece_model_pb2 as model_pb
 
 from .common import map_texts
 
-#: Stretches that a worker remembers before it starts afresh.
+#: Stretches that a worker remembers, in two generations: when the young one holds half, it becomes the old one, and of
+#: that only what is met again comes along.
 STRETCHES = 250_000
 MARK = "▁"
 
@@ -61,6 +62,7 @@ class PieceCodec:
             self.split = True
             self.cut = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
         self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def agenda(self, text: str) -> list[int]:
         """Ids of one stretch of normalised text.
@@ -119,11 +121,14 @@ class PieceCodec:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, with begin and end, checked against the library."""
-        if len(self.memo) >= STRETCHES:
-            self.memo.clear()
+        if len(self.memo) >= STRETCHES // 2:
+            self.old, self.memo = self.memo, {}
         cut = [self.cut.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         memo = self.memo
-        new = list({s: None for stretches in cut for s in stretches if s not in memo})
+        new = {s for stretches in cut for s in stretches if s not in memo}
+        met = new & self.old.keys()
+        memo.update((s, self.old[s]) for s in met)
+        new = sorted(new - met)
         more = self._learn(new) if new else {}
         if more:
             known = memo.get
