@@ -587,8 +587,9 @@ def _references(p: list[int], width: int) -> list[tuple[int, int]]:
     return out
 
 
-def long_matches(data: np.ndarray, least: int = 16) -> list[tuple[int, int, int]]:
-    """(start, length, distance) of stretches of `least` bytes or more that repeat earlier ones, in order, without overlap.
+def long_matches(data: np.ndarray, least: int = 16, worth: int = 48) -> list[tuple[int, int, int]]:
+    """(start, length, distance) of stretches of `least` bytes or more that repeat earlier ones, in order, without overlap;
+    none if they save less than `worth` bytes together, as the codes of references take room too.
 
     Every window of eight bytes looks up its last occurrence; windows in a row at one distance are one stretch.
     """
@@ -596,23 +597,28 @@ def long_matches(data: np.ndarray, least: int = 16) -> list[tuple[int, int, int]
     if n <= least:
         return []
     keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, 8)).view("<u8").ravel()
-    order = np.argsort(keys, kind="stable")
-    same = keys[order[1:]] == keys[order[:-1]]
-    if not same.any():
+    # 40 bits of a window's hash, then its place: one sort of plain numbers brings like windows together in order.
+    place = np.uint64(24)
+    order = np.sort((keys * np.uint64(0x9E3779B97F4A7C15)) >> place << place | np.arange(n, dtype=np.uint64))
+    alike = np.flatnonzero(order[1:] >> place == order[:-1] >> place)
+    if len(alike) < least - 7:
         return []
+    order = (order & np.uint64((1 << 24) - 1)).astype(np.int64)
+    later, earlier = order[alike + 1], order[alike]
+    same = keys[later] == keys[earlier]
     distance = np.zeros(n, np.int64)
-    distance[order[1:][same]] = (order[1:] - order[:-1])[same]
+    distance[later[same]] = (later - earlier)[same]
     edges = np.concatenate([[0], np.flatnonzero(np.diff(distance)) + 1, [n]])
     out, free = [], 0
-    worth = np.flatnonzero((distance[edges[:-1]] > 0) & (np.diff(edges) + 7 >= least))
-    for a, b, d in zip(edges[worth].tolist(), edges[worth + 1].tolist(), distance[edges[worth]].tolist(), strict=True):
+    long = np.flatnonzero((distance[edges[:-1]] > 0) & (np.diff(edges) + 7 >= least))
+    for a, b, d in zip(edges[long].tolist(), edges[long + 1].tolist(), distance[edges[long]].tolist(), strict=True):
         a, b = max(a, free), b + 7
         while b - a >= least:
             size = min(b - a, MAX_COPY)
             out.append((a, size, d))
             a += size
             free = a
-    return out
+    return out if sum(m[1] for m in out) >= worth else []
 
 
 def _write_matches(w: BitWriter, p: np.ndarray, green: np.ndarray, matches: list[tuple[int, int, int]]) -> bytes:
