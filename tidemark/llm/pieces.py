@@ -17,6 +17,7 @@ import functools
 import hashlib
 import heapq
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,17 @@ from .common import map_texts
 
 #: Stretches that a worker remembers, in two generations: when the young one holds half, it becomes the old one, and of
 #: that only what is met again comes along.
-STRETCHES = 250_000
+STRETCHES = 1_000_000
+#: Bytes of text encoded at once: a stretch that is new in them is learned once.
+SLICE = 4_000_000
 MARK = "▁"
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class PieceCodec:
     """A merge-type vocabulary with identity normalisation, compiled from a .model file."""
 
@@ -60,47 +68,57 @@ class PieceCodec:
             self.split, self.cut = False, re.compile(r"(?s).+")
         else:  # a line feed is in no longer piece, so it stands alone
             self.split = True
-            self.cut = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
+            self.cut = re.compile(" *[^ \n]+| +|\n")
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def agenda(self, text: str) -> list[int]:
         """Ids of one stretch of normalised text.
 
-        Agenda entries are numbers: the rank of the piece's score, then the position of its left symbol. An entry
-        whose symbols no longer make up the piece of its rank class is stale.
+        Agenda entries are numbers: the rank of the piece's score, then the position of its left symbol. Every symbol
+        knows the entry of its pair with the next one, if that is a piece; an entry that its symbol no longer knows is
+        stale.
         """
         symbols, n = list(text), len(text)
-        ranks = self.ranks
-        queue = [ranks[p] << 32 | i for i in range(n - 1) if (p := symbols[i] + symbols[i + 1]) in ranks]
+        rank, none = self.ranks.get, -1
+        live = [none if (r := rank(x + y)) is None else r << 32 | i for i, (x, y) in enumerate(zip(symbols, symbols[1:]))]  # noqa: B905
+        queue = [e for e in live if e >= 0]
         if queue:
+            live.append(none)
             heapq.heapify(queue)
+            pop, push = heapq.heappop, heapq.heappush
             before, after = list(range(-1, n)), list(range(1, n + 1))
             while queue:
-                entry = heapq.heappop(queue)
+                entry = pop(queue)
                 left = entry & 0xFFFFFFFF
-                right = after[left]
-                if right >= n or not symbols[left]:
+                if live[left] != entry:
                     continue
-                piece = symbols[left] + symbols[right]
-                if ranks.get(piece) != entry >> 32:
-                    continue
-                symbols[left], symbols[right] = piece, ""
+                right = after[left]
+                symbols[left] = piece = symbols[left] + symbols[right]
+                symbols[right], live[right] = "", none
                 following = after[left] = after[right]
-                before[following] = left
-                if following < n and (p := piece + symbols[following]) in ranks:
-                    heapq.heappush(queue, ranks[p] << 32 | left)
+                live[left] = none
+                if following < n:
+                    before[following] = left
+                    r = rank(piece + symbols[following])
+                    if r is not None:
+                        live[left] = entry = r << 32 | left
+                        push(queue, entry)
                 previous = before[left]
-                if previous >= 0 and (p := symbols[previous] + piece) in ranks:
-                    heapq.heappush(queue, ranks[p] << 32 | previous)
-        out: list[int] = []
-        for s in symbols:
-            if s:
-                found = self.ids.get(s)
-                if found is None:
-                    out += [self.bytes[b] for b in s.encode()]
-                else:
-                    out.append(found)
+                if previous >= 0:
+                    r = rank(symbols[previous] + piece)
+                    if r is None:
+                        live[previous] = none
+                    else:
+                        live[previous] = entry = r << 32 | previous
+                        push(queue, entry)
+        ids, out = self.ids, []
+        for s in filter(None, symbols):
+            found = ids.get(s)
+            if found is None:
+                out += [self.bytes[b] for b in s.encode()]
+            else:
+                out.append(found)
         return out
 
     def _learn(self, stretches: list[str]) -> dict[str, bytes]:
@@ -108,22 +126,24 @@ class PieceCodec:
 
         Behind a line feed, which stands alone, the library adds no mark, so its ids follow the two of mark and feed.
         """
-        out = {}
-        for s in stretches:
-            out[s] = np.array(self.agenda(s), "<u4").tobytes()
+        out, agenda, memo = {}, self.agenda, self.memo
         lead, skip = ("\n", 2) if self.split else ("", 0)
-        theirs = self.library.encode([lead + (s if self.split else s.removeprefix(MARK)) for s in stretches], num_threads=1)
+        theirs = self.library.encode([lead + (s if self.split else s[1:]) for s in stretches], num_threads=1)
         for s, ids in zip(stretches, theirs, strict=True):
-            if out[s] != np.array(ids[skip:], "<u4").tobytes():
+            own = agenda(s.replace(" ", MARK))
+            if own != ids[skip:]:
                 raise ValueError("the agenda and the sentencepiece library disagree on a text")
-        self.memo.update((s, x) for s, x in out.items() if len(s) <= 64)
+            out[s] = packed(own)
+            if len(s) <= 64:
+                memo[s] = out[s]
         return out
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, with begin and end, checked against the library."""
         if len(self.memo) >= STRETCHES // 2:
             self.old, self.memo = self.memo, {}
-        cut = [self.cut.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        # Marks of the text itself count as spaces; stretches are kept with spaces, which take half the room.
+        cut = [self.cut.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
         memo = self.memo
         new = {s for stretches in cut for s in stretches if s not in memo}
         met = new & self.old.keys()
@@ -152,7 +172,7 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         ids = [np.frombuffer(x, "<u4") for x in codec(path).encode_batch([t or "" for t in batch.column(1).to_pylist()])]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return map_texts(docs.select(id_col, text_col), run, f"doc_id {id_type}, ids array<int>")
+    return map_texts(docs.select(id_col, text_col), run, f"doc_id {id_type}, ids array<int>", SLICE)
 
 
 def digest_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,7 +189,7 @@ def digest_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
         )
 
-    return map_texts(docs.select(id_col, text_col), run, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_texts(docs.select(id_col, text_col), run, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string", SLICE)
 
 
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,4 +202,4 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         ids = pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in encoded], pa.list_(pa.int32()))
         return pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array([len(x) // 4 for x in encoded], pa.int64()), pa.array(c.decode(encoded), pa.string())], ["doc_id", "ids", "n_tokens", "decoded"])
 
-    return map_texts(docs.select(id_col, text_col), run, f"doc_id {id_type}, ids array<int>, n_tokens long, decoded string")
+    return map_texts(docs.select(id_col, text_col), run, f"doc_id {id_type}, ids array<int>, n_tokens long, decoded string", SLICE)
