@@ -43,7 +43,8 @@ def packed(ids: list[int]) -> bytes:
 class PieceCodec:
     """A merge-type vocabulary with identity normalisation, compiled from a .model file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, stretches: int = STRETCHES):
+        self.stretches = stretches
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         spec = model_pb.ModelProto()
         with open(path, "rb") as f:
@@ -140,7 +141,7 @@ class PieceCodec:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, with begin and end, checked against the library."""
-        if len(self.memo) >= STRETCHES // 2:
+        if len(self.memo) >= self.stretches // 2:
             self.old, self.memo = self.memo, {}
         # Marks of the text itself count as spaces; stretches are kept with spaces, which take half the room.
         cut = [self.cut.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
@@ -160,8 +161,8 @@ class PieceCodec:
 
 
 @functools.cache
-def codec(path: str) -> PieceCodec:
-    return PieceCodec(path)
+def codec(path: str, stretches: int = STRETCHES) -> PieceCodec:
+    return PieceCodec(path, stretches)
 
 
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -192,14 +193,17 @@ def digest_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     return map_texts(docs.select(id_col, text_col), run, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string", SLICE)
 
 
-def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, ids (array of int, with begin and end), n_tokens, decoded (the text that the ids decode to)."""
+def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", stretches: int = STRETCHES, batch_bytes: int = SLICE) -> DataFrame:
+    """Per row: doc_id, ids (array of int, with begin and end), n_tokens, decoded (the text that the ids decode to).
+
+    `stretches` and `batch_bytes` bound a worker's memory; less of it costs time and changes nothing else.
+    """
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        c = codec(path)
+        c = codec(path, stretches)
         encoded = c.encode_batch([t or "" for t in batch.column(1).to_pylist()])
         ids = pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in encoded], pa.list_(pa.int32()))
         return pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array([len(x) // 4 for x in encoded], pa.int64()), pa.array(c.decode(encoded), pa.string())], ["doc_id", "ids", "n_tokens", "decoded"])
 
-    return map_texts(docs.select(id_col, text_col), run, f"doc_id {id_type}, ids array<int>, n_tokens long, decoded string", SLICE)
+    return map_texts(docs.select(id_col, text_col), run, f"doc_id {id_type}, ids array<int>, n_tokens long, decoded string", batch_bytes)
