@@ -74,7 +74,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encode_decode(docs, tokenizer_file("piece_bpe_32k.model"))
+    # Workers still hold memory of the stages before, so they remember fewer stretches here.
+    return encode_decode(docs, tokenizer_file("piece_bpe_32k.model"), stretches=250_000, batch_bytes=1_000_000)
 
 
 STAGES = [("language", language), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mixing), ("pieces", pieces)]
