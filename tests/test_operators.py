@@ -1,5 +1,5 @@
 import random
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,7 +57,17 @@ def test_upsert(spark):
 def test_velocity_is_exact_to_the_microsecond(spark):
     times = ["2026-01-01 00:00:00", "2026-01-01 00:05:00", "2026-01-01 00:10:00", "2026-01-01 00:20:00.000500"]
     df = spark.createDataFrame([("a", t) for t in times], "k string, t string").select("k", F.col("t").cast("timestamp_ntz").alias("ts"))
-    assert [r.n for r in df.select("ts", kpis.recent_count("k", "ts").alias("n")).orderBy("ts").collect()] == [1, 2, 3, 1]
+    assert [r.n for r in kpis.with_recent_count(df, "k", "ts", "n").orderBy("ts").collect()] == [1, 2, 3, 1]
+
+
+def test_velocity_counts_over_slots(spark):
+    draw = random.Random(4)
+    starts = [datetime(1969, 12, 31, 23, 0), datetime(9998, 1, 1)]
+    times = [draw.choice(starts) + timedelta(microseconds=draw.choice([0, 1, 599_999_999, 600_000_000, draw.randrange(7_200_000_000)]) + 600_000_000 * draw.randrange(8)) for _ in range(400)]
+    rows = [(i, draw.choice(["a", "a", "a", "b", None]), draw.choice([t, t, t, t, None])) for i, t in enumerate(times)]
+    got = {r.i: r.n for r in kpis.with_recent_count(spark.createDataFrame(rows, "i int, k string, ts timestamp_ntz"), "k", "ts", "n").collect()}
+    ten = timedelta(minutes=10)
+    assert got == {i: sum(k2 == k and (t2 is None if t is None else t2 is not None and t - ten <= t2 <= t) for _, k2, t2 in rows) for i, k, t in rows}
 
 
 def test_orders_and_nulls(spark):

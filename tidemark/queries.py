@@ -540,7 +540,7 @@ def scorecard_top_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 10 MINUTE PRECEDING AND CURRENT ROW) AS n FROM events")
 def range_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "events").select("event_id", kpis.recent_count("user_id", "ts").alias("n"))
+    return kpis.with_recent_count(read(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "user_id", "ts", "n").select("event_id", "n")
 
 
 @query(f"""WITH {STAR_SQL}, {RFM_SQL} SELECT account_id, CASE WHEN m < 1.0::DOUBLE / 3 THEN 1 WHEN m < 2.0::DOUBLE / 3 THEN 2 ELSE 3 END AS tertile FROM pr""")
