@@ -150,7 +150,9 @@ def exact_dedup(docs: DataFrame, in_snapshot: Column, id_col: str = "doc_id", te
     rows = rows.withColumn("text_sha256", F.sha2("norm", 256))
     narrow = written(rows.select("doc_id", "text_sha256", "old"), "digests")
     snapshot, incoming = _grouped(narrow.filter("old"), buckets), _grouped(narrow.filter("NOT old"), buckets)
-    screened = written(screen(incoming, build_filters(snapshot)), "screened")
+    screened = screen(incoming, build_filters(snapshot))
+    if tell_screened:  # else it is read once, where repeated digests are gathered
+        screened = written(screened, "screened")
     positives = screened.filter("maybe").select("text_sha256")
     repeated = snapshot.filter("n > 1").select("key64").union(incoming.filter("n > 1").select("key64")).union(snapshot.join(positives, "text_sha256", "left_semi").select("key64"))
     repeated = written(repeated.distinct(), "repeated")
