@@ -4,7 +4,7 @@ from datetime import datetime
 
 import pytest
 
-from tidemark.plans import batches, entities, kpis
+from tidemark.plans import batches, entities, kpis, serving
 from tidemark.sources import readers, sinks
 from tidemark.sources.store import Store
 from tidemark.streaming.arrivals import DEAD, redrive, watch
@@ -84,6 +84,22 @@ def test_two_batches(spark, drops, tmp_path):
     sinks.write_csv(out["kpi08"], f"{root}/kpi08")
     page = sinks.dashboard("Daily", {"facts": 14}, {"KPI 8": out["kpi08"]}, {"Branches": (out["kpi07"], "branch_id", "net_volume")}, {"Trend": (out["kpi02"], "branch_id", "month", "volume")})
     assert "<polyline" in page and "<rect" in page and "Daily" in page
+    shown = serving.views(spark, root, "2026-10-06", "2026-10-02", "day1-baseline", "day2-incremental")
+    assert len(shown) == 13 and spark.sql("SELECT count(*) AS n FROM v_fact JOIN dim_customer USING (customer_sk)").first().n == 14
+    assert spark.sql("SELECT sum(net_volume) AS v FROM kpi_07_branch_rank_region").first().v == changes.kpi07_network_net
+    some = {k: shown[k] for k in ("kpi_04_dormant_accounts", "kpi_09_refund_rate", "kpi_10_dq_scorecard")}
+    counts = serving.export(some, f"{root}/csv")
+    assert counts == {k: len(got[f"kpi{k[4:6]}"]) for k in some}
+    assert spark.read.option("header", True).csv(f"{root}/csv/kpi_09_refund_rate").count() == counts["kpi_09_refund_rate"]
+    sizes = [len(page) for page in serving.pages(shown["kpi_10_dq_scorecard"], 3)]
+    assert sum(sizes) == counts["kpi_10_dq_scorecard"] and max(sizes) <= 3
+    never = serving.views(spark, root, "2020-01-01", "2026-10-02", "day1-baseline", "day2-incremental")
+    assert all(r.last_txn_ts is None for r in never["kpi_04_dormant_accounts"].collect())  # another date, the same views
+    try:
+        assert serving.catalogue(spark, root, "lake_test") == list(serving.TABLES)
+        assert spark.sql("SELECT count(*) AS n FROM lake_test.fact_transaction").first().n == 14
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS lake_test CASCADE")
 
 
 def test_a_closed_gate_changes_nothing(spark, drops, tmp_path):

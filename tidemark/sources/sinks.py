@@ -13,9 +13,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) ->
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """One file with a header; for results that a person reads, which are small."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, single: bool = True) -> None:
+    """One file with a header, for results that a person reads, which are small; else a file for each partition."""
+    (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def create_views(frames: dict[str, DataFrame]) -> None:
